@@ -128,9 +128,9 @@ def decision_funnel(fact: DataFrame) -> DataFrame:
 
 
 def matrix(fact: DataFrame, rows: str, columns: str, values: Sequence[str]) -> DataFrame:
-    """Default rate with one output column per named value (names in lower snake case)."""
+    """Default rate with one output column ``rate_<value>`` per named value, in lower snake case."""
     wide = fact.groupBy(rows).pivot(columns, list(values)).agg(rate_pct(FLAG))
-    return wide.select(rows, *[F.col(f"`{v}`").alias(snake(v)) for v in values])
+    return wide.select(rows, *[F.col(f"`{v}`").alias(f"rate_{snake(v)}") for v in values])
 
 
 def snake(text: str) -> str:

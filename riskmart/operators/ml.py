@@ -180,12 +180,12 @@ def cross_validate(df: DataFrame, fit, folds: int = 5, label: str = "label", key
                                folds, label, "_row", seed)
         oversample = None
     else:
-        cut = stratified_folds(df, folds, label, key, seed)
+        cut = stage(stratified_folds(df, folds, label, key, seed), "folds")
     scores = []
     for i in range(folds):
         train = cut.filter(F.col("fold") != i)
         if oversample is not None:
-            train = oversample(train)
+            train = stage(oversample(train), "train")  # the fit reads it many times
         model = fit(train)
         scored = with_probability(model, cut.filter(F.col("fold") == i), [label])
         scores.append(classifier_metrics(scored, "score", label).first()["auc"])

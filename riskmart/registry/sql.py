@@ -127,11 +127,11 @@ SELECT o_custkey AS sk_id_curr, l_orderkey AS sk_id_prev, CAST(1 AS DOUBLE) AS n
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 TABLES["credit_card_balance"] = """
-SELECT event_id AS sk_id_prev, user_id AS sk_id_curr, CAST(-day(ts) AS INTEGER) AS months_balance, value * CAST(4 AS DOUBLE) AS amt_balance,
+SELECT event_id AS sk_id_prev, user_id AS sk_id_curr, CAST(-day(ts) AS INTEGER) AS months_balance, value * CAST(160 AS DOUBLE) AS amt_balance,
   CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE CAST(100 + (event_id % 10) * 100 AS DOUBLE) END AS amt_credit_limit_actual,
   CASE WHEN event_type <> 'view' THEN value END AS amt_drawings_current,
   CASE WHEN event_type <> 'click' THEN value * CAST(0.5 AS DOUBLE) END AS amt_payment_current,
-  value * CAST(4 AS DOUBLE) AS amt_total_receivable, CAST(event_id % 5 AS INTEGER) AS cnt_drawings_current,
+  value * CAST(160 AS DOUBLE) AS amt_total_receivable, CAST(event_id % 5 AS INTEGER) AS cnt_drawings_current,
   CASE event_type WHEN 'signup' THEN 'Signed' WHEN 'purchase' THEN 'Completed' ELSE 'Active' END AS name_contract_status,
   CAST(CASE WHEN event_type = 'error' THEN event_id % 40 ELSE 0 END AS INTEGER) AS sk_dpd,
   CAST(CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN event_id % 20 ELSE 0 END AS INTEGER) AS sk_dpd_def
