@@ -149,11 +149,13 @@ def label_correlations(df: DataFrame, features: Sequence[str], label: str = "lab
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows and share per label, and the negatives-to-positives ratio."""
-    total = df.agg(F.count(F.lit(1)).alias("_n"), count_where(F.col(label) == 0).alias("_neg"),
-                   count_where(F.col(label) == 1).alias("_pos"))
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("rows")).join(F.broadcast(total)).select(
-        label, "rows", round_half_up(ratio("rows", "_n"), 6).alias("share"),
-        round_half_up(ratio("_neg", "_pos"), 6).alias("neg_pos_ratio"))
+    def whole(c: Column) -> Column:
+        return df.agg(c).scalar()
+
+    rows, negatives, positives = F.count(F.lit(1)), count_where(F.col(label) == 0), count_where(F.col(label) == 1)
+    return df.groupBy(label).agg(rows.alias("rows")).select(
+        label, "rows", round_half_up(ratio("rows", whole(rows)), 6).alias("share"),
+        round_half_up(ratio(whole(negatives), whole(positives)), 6).alias("neg_pos_ratio"))
 
 
 def clipped_histogram(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 20,

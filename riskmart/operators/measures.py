@@ -150,14 +150,14 @@ def rate_cells(fact: DataFrame, *by: str) -> DataFrame:
 
 
 def portfolio_split(fact: DataFrame, *by: str) -> DataFrame:
-    """Rows, loan value, share of the whole and default rate per group; shares need no second scan."""
+    """Rows, loan value, share of the whole and default rate per group."""
     groups = fact.groupBy(*by).agg(
         F.count(F.lit(1)).alias("applications"), F.sum("loan_amount").alias("_value"), rate_pct(FLAG).alias("default_rate_pct"))
-    whole = groups.agg(F.sum("applications").alias("_n"), F.sum("_value").alias("_all"))
-    return groups.join(F.broadcast(whole)).select(
+    rows, value = fact.agg(F.count(F.lit(1))).scalar(), fact.agg(F.sum("loan_amount")).scalar()
+    return groups.select(
         *by, "applications", round_half_up("_value", 2).alias("loan_value"),
-        round_half_up(ratio("applications", "_n") * 100, 4).alias("application_share_pct"),
-        round_half_up(ratio("_value", "_all") * 100, 4).alias("loan_value_share_pct"), "default_rate_pct")
+        round_half_up(ratio("applications", rows) * 100, 4).alias("application_share_pct"),
+        round_half_up(ratio("_value", value) * 100, 4).alias("loan_value_share_pct"), "default_rate_pct")
 
 
 def score_components(fact: DataFrame, *by: str) -> DataFrame:

@@ -126,9 +126,8 @@ def age_gap(fact: DataFrame) -> DataFrame:
     bands = fact.groupBy(age_band("age_years").alias("age_band")).agg(
         F.count(F.lit(1)).alias("applications"), F.count("default_flag").alias("_known"),
         F.sum(F.col("default_flag").cast("long")).alias("_bad"))
-    whole = bands.agg(F.sum("_known").alias("_all"), F.sum("_bad").alias("_all_bad"))
-    rate, overall = ratio("_bad", "_known") * 100, ratio("_all_bad", "_all") * 100
-    return bands.join(F.broadcast(whole)).select(
+    rate, overall = ratio("_bad", "_known") * 100, fact.agg(F.avg("default_flag")).scalar() * 100
+    return bands.select(
         "age_band", "applications", round_half_up(rate, 2).alias("default_rate_pct"),
         round_half_up(rate - overall, 2).alias("gap_pp"))
 

@@ -115,23 +115,14 @@ def _median(df: DataFrame, rule: Rule) -> DataFrame:
     """Median by counting equal values; the values checked this way (ages) have few distinct ones."""
     from riskmart.operators.ranking import exact_quantiles
 
-    q = exact_quantiles(df, rule.column, [0.5])
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    return n.join(F.broadcast(q), F.lit(True), "left").select(
+    middle = exact_quantiles(df, rule.column, [0.5]).agg(F.max("value")).scalar()
+    return df.agg(F.count(F.lit(1)).alias("_n")).withColumn("value", middle).select(
         F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
         F.lit(rule.severity).alias("severity"), F.lit(0).cast("long").alias("failed"), F.col("_n").alias("total"),
         round_half_up("value", 6).alias("observed"),
         F.coalesce(~_outside(F.col("value"), rule.params.get("low"), rule.params.get("high")), F.lit(False)).alias("passed"))
 
 
-def _summary(rule: Rule, failed: DataFrame, total: DataFrame) -> DataFrame:
-    """Result row from a one-row ``failed`` and a one-row ``total``."""
-    return failed.join(F.broadcast(total)).select(
-        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
-        F.lit(rule.severity).alias("severity"), F.col("failed").cast("long").alias("failed"), F.col("total"),
-        F.lit(None).cast("double").alias("observed"), (F.col("failed") == 0).alias("passed"))
-
-
 def duplicated_values(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
@@ -146,12 +137,17 @@ def _unique(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _relationship(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) -> DataFrame:
-    """Child keys are counted before the anti join, so a key held by most rows is one row in it."""
+    """Child keys are counted before the join, so a key held by most rows is one row in it."""
     parent = parents[rule.params["to"]].select(F.col(rule.params["field"]).alias("_key"))
     keys = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("copies"))
-    lost = keys.filter(F.col(rule.column).isNotNull()).join(parent, F.col(rule.column) == F.col("_key"), "left_anti")
-    return _summary(rule, lost.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("failed")),
-                    df.agg(F.count(F.lit(1)).alias("total")))
+    matched = keys.join(parent.distinct().withColumn("_known", F.lit(True)), F.col(rule.column) == F.col("_key"), "left")
+    lost = F.col(rule.column).isNotNull() & F.col("_known").isNull()
+    return matched.agg(
+        F.coalesce(F.sum(F.when(lost, F.col("copies"))), F.lit(0)).alias("failed"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("total")).select(
+        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
+        F.lit(rule.severity).alias("severity"), "failed", "total", F.lit(None).cast("double").alias("observed"),
+        (F.col("failed") == 0).alias("passed"))
 
 
 def check(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:

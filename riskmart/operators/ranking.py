@@ -36,11 +36,6 @@ def _bounded_collect(df: DataFrame):
     return rows
 
 
-def _lookup(values: list, default) -> Column:
-    """Literal array indexed by partition number."""
-    return F.coalesce(F.get(F.array(*[F.lit(v) for v in values]), F.col("_part")), F.lit(default))
-
-
 def _attach_group_numbers(df: DataFrame, groups: Sequence[str], numbers: dict[tuple, dict]) -> DataFrame:
     """Join per-group numbers; their count was checked when they were collected."""
     spark = df.sparkSession
@@ -66,32 +61,26 @@ def with_position(df: DataFrame, order: Sequence[Column], partition_by: Sequence
     """
     placed = _sorted_stage(df, partition_by, order)
     counts = _bounded_collect(placed.groupBy("_part", *partition_by).agg(F.count(F.lit(1)).alias("_c")))
-    per_part: dict[int, int] = {}
-    per_group: dict[tuple, int] = {}
-    first_part: dict[tuple, int] = {}
-    for row in counts:
+    sizes: dict[tuple, int] = {}
+    # groups follow each other in the sort order, NULL groups first, and so do the parts of a group
+    numbers, seen = {}, {}
+    for row in sorted(counts, key=lambda r: r["_part"]):
         g = tuple(row[c] for c in partition_by)
-        per_part[row["_part"]] = per_part.get(row["_part"], 0) + row["_c"]
-        per_group[g] = per_group.get(g, 0) + row["_c"]
-        first_part[g] = min(first_part.get(g, row["_part"]), row["_part"])
-    offsets, running = [], 0
-    for p in range(max(per_part, default=-1) + 1):
-        offsets.append(running)
-        running += per_part.get(p, 0)
+        seen.setdefault(g, []).append((row["_part"], row["_c"]))
+        sizes[g] = sizes.get(g, 0) + row["_c"]
+    in_part: dict[int, int] = {}
+    for g in sorted(sizes, key=lambda g: [(v is not None, v) for v in g]):
+        before = 0
+        for part, rows in seen[g]:
+            # place within the partition, less the rows of earlier groups in it, plus the group's earlier parts
+            numbers[(part, *g)] = {"_add": before - in_part.get(part, 0), total: sizes[g]}
+            in_part[part] = in_part.get(part, 0) + rows
+            before += rows
     local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)) + 1
-    ranked = placed.withColumn(pos, _lookup(offsets or [0], 0) + local)
-    if not partition_by:
-        return ranked.withColumn(total, F.lit(running)).drop("_mid", "_part")
-    # groups follow each other in the sort order; NULL groups come first
-    ordered = sorted(per_group, key=lambda g: [(v is not None, v) for v in g])
-    numbers, start = {}, 0
-    for g in ordered:
-        numbers[g] = {"_start": start, total: per_group[g]}
-        start += per_group[g]
     if not numbers:
-        return ranked.withColumn(total, F.lit(0)).drop("_mid", "_part")
-    ranked = _attach_group_numbers(ranked, partition_by, numbers)
-    return ranked.withColumn(pos, F.col(pos) - F.col("_start")).drop("_mid", "_part", "_start")
+        return placed.withColumns({pos: local, total: F.lit(0).cast("long")}).drop("_mid", "_part")
+    ranked = _attach_group_numbers(placed, ["_part", *partition_by], numbers)
+    return ranked.withColumn(pos, local + F.col("_add")).drop("_mid", "_part", "_add")
 
 
 def tile_of(pos: Column | str, total: Column | str, tiles: int) -> Column:
@@ -117,7 +106,6 @@ def with_running_total(df: DataFrame, order: Sequence[Column], values: Sequence[
     placed = _sorted_stage(df, partition_by, order)
     sums = _bounded_collect(placed.groupBy("_part", *partition_by).agg(
         *[F.sum(F.coalesce(F.col(v), F.lit(0)).cast("long")).alias(f"_s_{v}") for v in values]))
-    parts = max((r["_part"] for r in sums), default=-1) + 1
     frame = Window.partitionBy("_part", *partition_by).orderBy("_mid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = placed
@@ -131,12 +119,6 @@ def with_running_total(df: DataFrame, order: Sequence[Column], values: Sequence[
             seen[v] += row[f"_s_{v}"] or 0
     for v in values:
         out = out.withColumn(f"cum_{v}", F.sum(F.coalesce(F.col(v), F.lit(0)).cast("long")).over(frame))
-    if not partition_by:
-        for v in values:
-            starts = [before.get((p,), {}).get(v, 0) for p in range(parts)] or [0]
-            out = out.withColumn(f"cum_{v}", F.col(f"cum_{v}") + _lookup(starts, 0))
-            out = out.withColumn(f"all_{v}", F.lit(totals.get((), {}).get(v, 0)).cast("long"))
-        return out.drop("_mid", "_part")
     if not totals:
         for v in values:
             out = out.withColumn(f"all_{v}", F.lit(0).cast("long"))

@@ -89,7 +89,7 @@ add("audit_column", lambda b: rc.with_loaded_at(b.raw["bureau_balance"], datetim
 
 def _refresh(b: Bound) -> DataFrame:
     path = scratch_path(b.spark, "refresh")
-    rc.full_refresh(b.raw["bureau_balance"].limit(1), path)
+    rc.full_refresh(b.raw["pos_cash_balance"], path)
     rc.full_refresh(b.raw["bureau_balance"], path)
     return cast_long(b.spark.read.parquet(path), "months_balance")
 
