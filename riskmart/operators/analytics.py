@@ -235,6 +235,11 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return child.filter(F.col(key).isNotNull()).join(known, F.col(key) == F.col("_key"), "left_anti")
 
 
+def orphan_counts(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Unknown keys and their rows. Rows are counted per key first, so a frequent key is one row in the join."""
+    return orphans(child.groupBy(key).agg(F.count(F.lit(1)).alias("rows")), key, parent, parent_key)
+
+
 def top_by(df: DataFrame, n: int, order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
     """First ``n`` rows of the order: a per-task top-n, then one merge of n rows each."""
     return df.orderBy(*order).limit(n).select(*columns)

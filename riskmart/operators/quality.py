@@ -7,6 +7,7 @@ own shuffle, on the key columns alone.
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -15,12 +16,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.functions.scalars import count_where, ratio, round_half_up
+from riskmart.functions.scalars import count_where, round_half_up
 
 ERROR, WARN = "error", "warn"
 ROW_KINDS = ("not_null", "accepted_values", "expression", "between", "length_between")
 TABLE_KINDS = ("row_count", "mean_between", "median_between")
-RESULT = "rule_id string, column string, kind string, severity string, failed bigint, total bigint, observed double, passed boolean"
 
 
 @dataclass(frozen=True)
@@ -44,67 +44,68 @@ class Rule:
         return f"{self.table}.{self.column}.{self.kind}"
 
 
-def _compare(c: Column, op: str, value) -> Column:
-    return {">": c > value, ">=": c >= value, "<": c < value, "<=": c <= value}[op]
+def _literal(value) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
-def _outside(c: Column, low, high) -> Column:
-    bad = F.lit(False)
-    if low is not None:
-        bad = bad | (c < low)
-    if high is not None:
-        bad = bad | (c > high)
-    return bad
+def _outside(text: str, params: Mapping[str, Any]) -> str:
+    """SQL condition for a value beyond one of its bounds; an open bound is None or absent."""
+    low, high = params.get("low"), params.get("high")
+    parts = [f"{text} < {low}"] if low is not None else []
+    parts += [f"{text} > {high}"] if high is not None else []
+    return " OR ".join(parts) or "false"
 
 
-def violation(rule: Rule) -> Column:
-    """True on rows that break a row-level rule; NULL values only break ``not_null``."""
-    c, p = F.col(rule.column), rule.params
+def violation(rule: Rule) -> str:
+    """SQL condition of the rows that break a row-level rule; NULL values only break ``not_null``."""
+    c, p = f"`{rule.column}`", rule.params
     if rule.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if rule.kind == "accepted_values":
-        return ~c.isin(*p["values"])
+        return f"{c} NOT IN ({', '.join(map(_literal, p['values']))})"
     if rule.kind == "expression":
-        return ~_compare(c, p["op"], p["value"])
+        return f"NOT ({c} {p['op']} {p['value']})"
     if rule.kind == "between":
-        return _outside(c, p.get("low"), p.get("high"))
+        return _outside(c, p)
     if rule.kind == "length_between":
-        return _outside(F.length(c), p.get("low"), p.get("high"))
+        return _outside(f"length({c})", p)
     raise ValueError(f"{rule.kind} is no row-level rule")
 
 
+def _result_row(rule: Rule, failed: str, total: str, observed: str, passed: str) -> str:
+    named = {"rule_id": _literal(rule.rule_id), "column": _literal(rule.column), "kind": _literal(rule.kind),
+             "severity": _literal(rule.severity), "failed": f"bigint({failed})", "total": f"bigint({total})",
+             "observed": f"double({observed})", "passed": passed}
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in named.items()) + ")"
+
+
 def _row_level(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    aggs, rows = [F.count(F.lit(1)).alias("_n")], []
+    """All rules as one aggregate row, then one output row per rule."""
+    aggs, rows = ["count(1) AS _n"], []
     medians = [r for r in rules if r.kind == "median_between"]
-    for i, rule in enumerate(rules):
-        c, p = F.col(rule.column) if rule.column != "*" else F.lit(1), rule.params
-        total, failed, observed = F.col("_n"), F.lit(0).cast("long"), F.lit(None).cast("double")
-        if rule.kind in ROW_KINDS:
-            aggs.append(count_where(violation(rule)).alias(f"f{i}"))
-            failed = F.col(f"f{i}")
-            passed = failed == 0
-            if "mostly" in p:
-                aggs.append(F.count(c).alias(f"k{i}"))
-                observed = round_half_up(F.coalesce(ratio(F.col(f"k{i}") - failed, f"k{i}"), F.lit(1.0)), 6)
-                total, passed = F.col(f"k{i}"), observed >= p["mostly"]
+    for i, rule in enumerate(r for r in rules if r.kind != "median_between"):
+        p = rule.params
+        if rule.kind in ROW_KINDS and "mostly" in p:
+            aggs += [f"count_if({violation(rule)}) AS f{i}", f"count(`{rule.column}`) AS k{i}"]
+            share = f"coalesce((k{i} - f{i}) / nullif(double(k{i}), 0), 1D)"
+            rows.append(_result_row(rule, f"f{i}", f"k{i}", f"round({share}, 6)", f"{share} >= {p['mostly']}"))
+        elif rule.kind in ROW_KINDS:
+            aggs.append(f"count_if({violation(rule)}) AS f{i}")
+            rows.append(_result_row(rule, f"f{i}", "_n", "NULL", f"f{i} = 0"))
         elif rule.kind == "row_count":
-            observed = F.col("_n").cast("double")
-            passed = ~_outside(F.col("_n"), p.get("low"), p.get("high"))
+            rows.append(_result_row(rule, "0", "_n", "_n", f"NOT ({_outside('_n', p)})"))
         elif rule.kind == "mean_between":
-            aggs.append(F.avg(c).alias(f"m{i}"))
-            observed = round_half_up(f"m{i}", 6)
-            passed = F.coalesce(~_outside(F.col(f"m{i}"), p.get("low"), p.get("high")), F.lit(False))
-        elif rule.kind == "median_between":
-            continue
+            aggs.append(f"avg(`{rule.column}`) AS m{i}")
+            rows.append(_result_row(rule, "0", "_n", f"round(round(m{i}, 12), 6)", f"coalesce(NOT ({_outside(f'm{i}', p)}), false)"))
         else:
             raise ValueError(rule.kind)
-        rows.append(F.struct(
-            F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
-            F.lit(rule.severity).alias("severity"), failed.cast("long").alias("failed"), total.cast("long").alias("total"),
-            observed.alias("observed"), passed.alias("passed")))
     out = None
     if rows:
-        out = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        out = df.agg(*map(F.expr, aggs)).selectExpr(f"explode(array({', '.join(rows)})) AS r").select("r.*")
     for rule in medians:
         part = _median(df, rule)
         out = part if out is None else out.unionByName(part)
@@ -116,11 +117,8 @@ def _median(df: DataFrame, rule: Rule) -> DataFrame:
     from riskmart.operators.ranking import exact_quantiles
 
     middle = exact_quantiles(df, rule.column, [0.5]).agg(F.max("value")).scalar()
-    return df.agg(F.count(F.lit(1)).alias("_n")).withColumn("value", middle).select(
-        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
-        F.lit(rule.severity).alias("severity"), F.lit(0).cast("long").alias("failed"), F.col("_n").alias("total"),
-        round_half_up("value", 6).alias("observed"),
-        F.coalesce(~_outside(F.col("value"), rule.params.get("low"), rule.params.get("high")), F.lit(False)).alias("passed"))
+    row = _result_row(rule, "0", "_n", "round(round(m, 12), 6)", f"coalesce(NOT ({_outside('m', rule.params)}), false)")
+    return df.agg(F.count(F.lit(1)).alias("_n")).withColumn("m", middle).selectExpr(f"{row} AS r").select("r.*")
 
 
 def duplicated_values(df: DataFrame, column: str) -> DataFrame:
@@ -129,11 +127,8 @@ def duplicated_values(df: DataFrame, column: str) -> DataFrame:
 
 def _unique(df: DataFrame, rule: Rule) -> DataFrame:
     per_value = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("copies"))
-    twice = (F.col("copies") > 1) & F.col(rule.column).isNotNull()
-    return per_value.agg(count_where(twice).alias("failed"), F.coalesce(F.sum("copies"), F.lit(0)).alias("total")).select(
-        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
-        F.lit(rule.severity).alias("severity"), "failed", "total", F.lit(None).cast("double").alias("observed"),
-        (F.col("failed") == 0).alias("passed"))
+    counts = per_value.selectExpr(f"count_if(copies > 1 AND `{rule.column}` IS NOT NULL) AS f", "coalesce(sum(copies), 0) AS n")
+    return counts.selectExpr(f"{_result_row(rule, 'f', 'n', 'NULL', 'f = 0')} AS r").select("r.*")
 
 
 def _relationship(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) -> DataFrame:
@@ -141,13 +136,9 @@ def _relationship(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) -
     parent = parents[rule.params["to"]].select(F.col(rule.params["field"]).alias("_key"))
     keys = df.groupBy(rule.column).agg(F.count(F.lit(1)).alias("copies"))
     matched = keys.join(parent.distinct().withColumn("_known", F.lit(True)), F.col(rule.column) == F.col("_key"), "left")
-    lost = F.col(rule.column).isNotNull() & F.col("_known").isNull()
-    return matched.agg(
-        F.coalesce(F.sum(F.when(lost, F.col("copies"))), F.lit(0)).alias("failed"),
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total")).select(
-        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.column).alias("column"), F.lit(rule.kind).alias("kind"),
-        F.lit(rule.severity).alias("severity"), "failed", "total", F.lit(None).cast("double").alias("observed"),
-        (F.col("failed") == 0).alias("passed"))
+    lost = f"`{rule.column}` IS NOT NULL AND _known IS NULL"
+    counts = matched.selectExpr(f"coalesce(sum(if({lost}, copies, 0)), 0) AS f", "coalesce(sum(copies), 0) AS n")
+    return counts.selectExpr(f"{_result_row(rule, 'f', 'n', 'NULL', 'f = 0')} AS r").select("r.*")
 
 
 def check(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
@@ -159,11 +150,12 @@ def check(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame]
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_all(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Result rows of a whole rule set, table by table."""
+def check_all(tables: Mapping[str, DataFrame], rules: Sequence[Rule],
+              parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Result rows of a whole rule set, table by table; ``parents`` are looked up before ``tables``."""
+    known = tables if parents is None else ChainMap(dict(parents), tables)
     names = list(dict.fromkeys(r.table for r in rules))
-    return reduce(DataFrame.unionByName,
-                  [check(tables[n], [r for r in rules if r.table == n], tables) for n in names])
+    return reduce(DataFrame.unionByName, [check(tables[n], [r for r in rules if r.table == n], known) for n in names])
 
 
 def suite_report(results: DataFrame) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -40,6 +39,12 @@ def fact_of(stg: Mapping[str, DataFrame], ints: Mapping[str, DataFrame], now: da
                        ints["int_credit_card_features"], ints["int_previous_application_features"], now=now, **options)
 
 
+def reference_keys(fact: DataFrame) -> dict[str, DataFrame]:
+    """Key tables for reference checks. The written fact has exactly the staged applicants, and reading
+    one column of it is cheaper than deduplicating the raw applications again for every check."""
+    return {"stg_application_train": fact.select("applicant_id")}
+
+
 def run_layers(raw: Mapping[str, DataFrame], store: LayerStore, now: datetime | None = None,
                raw_rows_at_least: int = 300_000, checks: bool = True, stop_on_failure: bool = True,
                snapshot_at: str | None = None) -> dict[str, DataFrame]:
@@ -64,9 +69,8 @@ def run_layers(raw: Mapping[str, DataFrame], store: LayerStore, now: datetime |
             lambda cur: scd2_start(rows, RISK_KEY, RISK_COLUMNS, snapshot_at) if cur is None
             else scd2_apply(cur, rows, RISK_KEY, RISK_COLUMNS, snapshot_at))
     if checks:
-        parts = [check_all(out, rulesets.staging_rules()), check_all(out, rulesets.intermediate_rules()),
-                 check_all(out, rulesets.mart_rules())]
-        out["check_results"] = store.put("MARTS", "check_results", reduce(DataFrame.unionByName, parts))
+        rules = rulesets.staging_rules() + rulesets.intermediate_rules() + rulesets.mart_rules()
+        out["check_results"] = store.put("MARTS", "check_results", check_all(out, rules, reference_keys(out[FACT])))
         if stop_on_failure:
             require_passed(out["check_results"])
     return out

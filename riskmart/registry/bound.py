@@ -14,7 +14,7 @@ from riskmart.plans.marts import portfolio_summary, training_table
 from riskmart.session import stage
 from riskmart.sources import credit_binding
 
-_marts: dict[tuple[str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class LazyTables(Mapping[str, DataFrame]):
@@ -36,9 +36,10 @@ class LazyTables(Mapping[str, DataFrame]):
 
 
 class Bound:
-    """Raw, staged, feature and mart tables bound to ``sf_dir``; all lazy but the mart.
+    """Raw, staged, feature and mart tables bound to ``sf_dir``.
 
-    The fact is written once per application, as the mart it is, and report queries read it back.
+    ``raw``, ``staged`` and ``ints`` are lazy. ``features`` and ``fact`` are written once per application,
+    as the layers they are, and report queries read them back.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -62,20 +63,33 @@ class Bound:
     def fact_plan(self, **options) -> DataFrame:
         return run.fact_of(self.staged, self.ints, **options)
 
+    def written(self, name: str, df: Callable[[], DataFrame]) -> DataFrame:
+        """The table as written by the run, once per application and data folder."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _written:
+            _written[key] = stage(df(), name)
+        return _written[key]
+
+    @cached_property
+    def features(self) -> Mapping[str, DataFrame]:
+        """The roll-ups as written tables."""
+        return LazyTables({n: lambda n=n: self.written(n, lambda: self.ints[n]) for n in run.FEATURE_STEPS})
+
     @cached_property
     def fact(self) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir)
-        if key not in _marts:
-            _marts[key] = stage(self.fact_plan(), "fact")
-        return _marts[key]
+        return self.written(run.FACT, lambda: run.fact_of(self.staged, self.features))
 
     @cached_property
     def training(self) -> DataFrame:
         return training_table(self.fact)
 
+    @cached_property
+    def parents(self) -> Mapping[str, DataFrame]:
+        return run.reference_keys(self.fact)
+
     @cached_property
     def tables(self) -> Mapping[str, DataFrame]:
-        return {**self.staged, **self.ints, run.FACT: self.fact, run.SUMMARY: portfolio_summary(self.fact),
+        return {**self.staged, **self.features, run.FACT: self.fact, run.SUMMARY: portfolio_summary(self.fact),
                 run.TRAINING: self.training}
 
 

@@ -101,9 +101,15 @@ add("conditional_counts", lambda b: b.raw["previous_application"].groupBy("sk_id
     scalars.count_where(F.col("name_contract_status") == "Refused").alias("refused")),
     """SELECT sk_id_curr, CAST(SUM(CASE WHEN name_contract_status = 'Approved' THEN 1 ELSE 0 END) AS BIGINT) AS approved,
     CAST(SUM(CASE WHEN name_contract_status = 'Refused' THEN 1 ELSE 0 END) AS BIGINT) AS refused FROM previous_application GROUP BY sk_id_curr""")
-add("distinct_credits", lambda b: b.raw["bureau_balance"].join(b.raw["bureau"].select("sk_id_bureau", "sk_id_curr"), "sk_id_bureau")
-    .groupBy("sk_id_curr").agg(F.count_distinct("sk_id_bureau").alias("credits"), F.count(F.lit(1)).alias("months")),
-    """SELECT sk_id_curr, COUNT(DISTINCT sk_id_bureau) AS credits, COUNT(*) AS months
+
+
+def _distinct_credits(b: Bound) -> DataFrame:
+    months = b.raw["bureau_balance"].groupBy("sk_id_bureau").agg(F.count(F.lit(1)).alias("_months"))
+    return b.raw["bureau"].select("sk_id_bureau", "sk_id_curr").join(months, "sk_id_bureau").groupBy("sk_id_curr").agg(
+        F.count_distinct(F.bitwise_not("sk_id_bureau")).alias("credits"), F.sum("_months").alias("months"))
+
+
+add("distinct_credits", _distinct_credits, """SELECT sk_id_curr, COUNT(DISTINCT sk_id_bureau) AS credits, COUNT(*) AS months
     FROM bureau_balance JOIN bureau USING (sk_id_bureau) GROUP BY sk_id_curr""")
 
 # ---- joins and marts ------------------------------------------------------------------------------
@@ -124,8 +130,9 @@ add("portfolio_summary", lambda b: portfolio_summary(b.fact_plan()), "SELECT * F
 add("ml_features_training", lambda b: cast_long(rounded(rounded(b.training, 2, "bureau_total_overdue"), 6, "inst_avg_payment_ratio"),
                                                 "label", "bureau_worst_delinquency"),
     _replace("ml_features_training", {"bureau_total_overdue": 2, "inst_avg_payment_ratio": 6}, ("label", "bureau_worst_delinquency")))
-add("credit_balance_left_join", lambda b: b.staged["stg_bureau"].select("applicant_id", "bureau_id", "credit_status").join(
-    b.staged["stg_bureau_balance"].select("bureau_id", cast("months_balance"), "status"), "bureau_id", "left"),
+add("credit_balance_left_join", lambda b: feat.with_balance_months(
+    b.staged["stg_bureau"].select("applicant_id", "bureau_id", "credit_status"),
+    b.staged["stg_bureau_balance"].select("bureau_id", cast("months_balance"), "status")),
     """SELECT bureau_id, applicant_id, credit_status, CAST(months_balance AS BIGINT) AS months_balance, status
     FROM stg_bureau LEFT JOIN stg_bureau_balance USING (bureau_id)""")
 add("application_debt_join", lambda b: an.bureau_dti(b.raw["application_train"], b.raw["bureau"]).select(
@@ -138,9 +145,8 @@ add("application_debt_join", lambda b: an.bureau_dti(b.raw["application_train"],
 for _child, _key in (("bureau", "stg_bureau"), ("installment", "stg_installments_payments"), ("previous_application", "stg_previous_application"),
                      ("bureau_features", "int_bureau_features"), ("installment_features", "int_installment_features"),
                      ("previous_features", "int_previous_application_features")):
-    add(f"orphan_{_child}_rows", lambda b, k=_key: an.orphans(
-        {**b.staged, **b.ints}[k], "applicant_id", b.staged["stg_application_train"], "applicant_id").groupBy("applicant_id").agg(
-        F.count(F.lit(1)).alias("rows")),
+    add(f"orphan_{_child}_rows", lambda b, k=_key: an.orphan_counts(
+        b.staged[k] if k in b.staged else b.ints[k], "applicant_id", b.staged["stg_application_train"], "applicant_id"),
         f"""SELECT applicant_id, COUNT(*) AS rows FROM {_key} WHERE applicant_id IS NOT NULL
         AND applicant_id NOT IN (SELECT applicant_id FROM stg_application_train) GROUP BY applicant_id""")
 add("surrogate_income_type", lambda b: an.surrogate_dimension(b.fact, "income_type", "income_type_key"),

@@ -60,9 +60,9 @@ def _rules_sql(rules) -> str:
     return " UNION ALL ".join(_rule_sql(r) for r in rules)
 
 
-add("check_staging", lambda b: qu.check_all(b.tables, rulesets.staging_rules()), _rules_sql(rulesets.staging_rules()))
-add("check_features", lambda b: qu.check_all(b.tables, rulesets.intermediate_rules()), _rules_sql(rulesets.intermediate_rules()))
-add("check_marts", lambda b: qu.check_all(b.tables, rulesets.mart_rules()), _rules_sql(rulesets.mart_rules()))
+add("check_staging", lambda b: qu.check_all(b.tables, rulesets.staging_rules(), b.parents), _rules_sql(rulesets.staging_rules()))
+add("check_features", lambda b: qu.check_all(b.tables, rulesets.intermediate_rules(), b.parents), _rules_sql(rulesets.intermediate_rules()))
+add("check_marts", lambda b: qu.check_all(b.tables, rulesets.mart_rules(), b.parents), _rules_sql(rulesets.mart_rules()))
 add("expectations_tolerant", lambda b: qu.check(b.fact, rulesets.expectation_rules(True)), _rules_sql(rulesets.expectation_rules(True)))
 add("expectations_strict", lambda b: qu.check(b.fact, rulesets.expectation_rules(False)), _rules_sql(rulesets.expectation_rules(False)))
 _SUITE = _rules_sql(rulesets.expectation_rules(True))
@@ -70,7 +70,7 @@ add("suite_report", lambda b: qu.suite_report(qu.check(b.fact, rulesets.expectat
 SELECT COUNT(*) AS rules, COUNT(*) FILTER (WHERE passed) AS passed, COUNT(*) FILTER (WHERE NOT passed) AS failed,
   COUNT(*) FILTER (WHERE NOT passed AND severity = 'error') AS failed_errors,
   COALESCE(STRING_AGG(rule_id, ',' ORDER BY rule_id) FILTER (WHERE NOT passed), '') AS failed_rules FROM ({_SUITE})""")
-add("failed_check_severities", lambda b: qu.check_all(b.tables, rulesets.staging_rules()).filter("NOT passed").groupBy("severity").agg(
+add("failed_check_severities", lambda b: qu.check_all(b.tables, rulesets.staging_rules(), b.parents).filter("NOT passed").groupBy("severity").agg(
     F.count(F.lit(1)).alias("rules"), F.sum("failed").alias("rows")),
     f"SELECT severity, COUNT(*) AS rules, CAST(SUM(failed) AS BIGINT) AS rows FROM ({_rules_sql(rulesets.staging_rules())}) WHERE NOT passed GROUP BY severity")
 add("duplicated_application_ids", lambda b: qu.duplicated_values(b.raw["application_train"], "sk_id_curr"),

@@ -121,7 +121,8 @@ def _payloads(b: Bound) -> DataFrame:
 
 
 def _observations(b: Bound) -> DataFrame:
-    return mj.observations(mj.parse_payloads(_payloads(b)))
+    """Observations of the landed payloads."""
+    return mj.observations(mj.parse_payloads(stage(_payloads(b), "payloads")))
 
 
 _LONG_SQL = " UNION ALL ".join(

@@ -31,7 +31,8 @@ class LayerStore:
     """Tables of one run, by layer: the lazy layers are views, the others are written and read back.
 
     With ``database`` the written layers become catalog tables named ``<database>_<layer>.<table>``,
-    otherwise parquet folders under ``base``.
+    otherwise versioned parquet folders under ``base``: a refresh that fails half-way leaves the old rows
+    in place, and readers of the old version are not disturbed.
     """
 
     def __init__(self, spark: SparkSession, base: str | None = None, database: str | None = None):
@@ -53,7 +54,7 @@ class LayerStore:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}_{layer.lower()}")
             df.write.mode("overwrite").saveAsTable(self._table(layer, name))
         else:
-            df.write.mode("overwrite").parquet(f"{self.base}/{layer}/{name}")
+            self.versioned(layer, name).replace(lambda _: df)
         return self.get(layer, name)
 
     def get(self, layer: str, name: str) -> DataFrame:
@@ -62,7 +63,7 @@ class LayerStore:
             return self.spark.table(f"{layer.lower()}__{name}")
         if self.database:
             return self.spark.table(self._table(layer, name))
-        return self.spark.read.parquet(f"{self.base}/{layer}/{name}")
+        return self.versioned(layer, name).read()
 
     def versioned(self, layer: str, name: str) -> VersionedTable:
         if self.base is None:
@@ -73,8 +74,7 @@ class LayerStore:
 class VersionedTable:
     """A table rewritten as a whole: each version is a new folder, the newest finished one is current.
 
-    Nothing that is being read is overwritten and a failed write leaves the old version current. Writing
-    a version number again replaces it, which makes a replayed streaming batch harmless.
+    Nothing that is being read is overwritten and a failed write leaves the old version current.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -83,30 +83,35 @@ class VersionedTable:
     def _path(self, version: int) -> str:
         return f"{self.base}/v{version:08d}"
 
-    def latest(self, below: int | None = None) -> int:
-        """Newest finished version (under ``below``), -1 for none."""
+    def _finished(self) -> list[int]:
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.base)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(root):
-            return -1
-        done = []
-        for status in fs.listStatus(root):
-            path = status.getPath()
-            if path.getName().startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-                done.append(int(path.getName()[1:]))
-        return max([v for v in done if below is None or v < below], default=-1)
+            return []
+        paths = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("v")]
+        return sorted(int(p.getName()[1:]) for p in paths if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+    def latest(self) -> int:
+        """Newest finished version, -1 for none."""
+        return max(self._finished(), default=-1)
+
+    def prune(self, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` finished versions."""
+        jvm = self.spark._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(self.base).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for v in self._finished()[:-keep]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._path(v)), True)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.latest() if version is None else version
         return None if v < 0 else self.spark.read.parquet(self._path(v))
 
-    def replace(self, build: Callable[[DataFrame | None], DataFrame], version: int | None = None) -> DataFrame:
-        """Write ``build(current or None)`` as the next (or the given) version."""
-        before = self.latest(below=version)
-        target = before + 1 if version is None else version
-        build(self.read(before)).write.mode("overwrite").parquet(self._path(target))
-        return self.read(target)
+    def replace(self, build: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+        """Write ``build(current or None)`` as the next version."""
+        current = self.latest()
+        build(self.read(current)).write.mode("overwrite").parquet(self._path(current + 1))
+        return self.read(current + 1)
 
 
 def lower_names(df: DataFrame) -> DataFrame:

@@ -62,15 +62,19 @@ def alert_rows(stream: DataFrame, target: str, checkpoint: str, strict: bool = T
 
 
 def score_applications(stream: DataFrame, score: Callable[[DataFrame], DataFrame], event_time: str, reuse: str = "1 hour",
-                       inputs: Sequence[str] = K.FEATURES, bounds: Mapping[str, tuple] = K.RECORD_BOUNDS) -> DataFrame:
+                       inputs: Sequence[str] = K.FEATURES, bounds: Mapping[str, tuple] = K.RECORD_BOUNDS,
+                       slices: int = 32) -> DataFrame:
     """Scored stream: invalid records are dropped, a record repeated within the reuse time is scored once.
 
-    State holds one key per distinct record of the last hour and is spread by that key.
+    Repeats are removed in two steps: first per record and a slice of its arrival times, which spreads a
+    record that floods the stream over many tasks, then per record among the few left. State holds the
+    distinct records of the reuse time.
     """
     valid, _ = validate_records(stream, bounds)
-    once = (valid.withColumn("_key", record_key(*inputs)).withWatermark(event_time, reuse)
-            .dropDuplicatesWithinWatermark(["_key"]))
-    return score(once).drop("_key")
+    keyed = valid.withColumn("_key", record_key(*inputs)).withColumn(
+        "_slice", F.pmod(F.xxhash64(event_time), F.lit(slices)).cast("int"))
+    few = keyed.withWatermark(event_time, reuse).dropDuplicatesWithinWatermark(["_key", "_slice"])
+    return score(few.dropDuplicatesWithinWatermark(["_key"])).drop("_key", "_slice")
 
 
 def rejected_applications(stream: DataFrame, bounds: Mapping[str, tuple] = K.RECORD_BOUNDS) -> DataFrame:

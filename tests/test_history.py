@@ -42,3 +42,5 @@ def test_versions_are_swapped_not_overwritten(spark, tmp_path):
     assert table.latest() == 1 and table.read().count() == 2 and first.count() == 1
     (tmp_path / "hist" / "v00000007").mkdir()  # an unfinished version is not current
     assert table.latest() == 1
+    table.prune(keep=1)
+    assert table.read().count() == 2 and not (tmp_path / "hist" / "v00000000").exists()
