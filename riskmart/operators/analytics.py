@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskmart.functions.bands import age_band, income_bracket, rate_era
 from riskmart.functions.scalars import (count_where, greatest_strict, ratio, round_half_up, whole_years)
 from riskmart.operators.ranking import column_quantiles, long_values, with_ntile
+from riskmart.session import broadcast_if_small
 
 
 def rate_pct(label: Column | str) -> Column:
@@ -189,18 +190,22 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def segment_enriched(fact: DataFrame, tiles: int = 10) -> DataFrame:
     """The fact with a per-segment ratio decile and three group means.
 
-    Group values are aggregated (41 rows at most here) and broadcast back, instead of windows that
-    would sort a quarter of the table in one task.
+    Group values are aggregated and joined back, instead of windows that would sort a quarter of the
+    table in one task. There are four segments and two labels, so both sides are tiny; their size is
+    checked all the same before they are broadcast.
     """
     seg, dec = "credit_risk_segment", "dti_risk_decile"
     order = [F.col("credit_to_income_ratio").desc_nulls_first(), F.col("applicant_id").asc()]
     tiled = with_ntile(fact, tiles, order, [seg], name=dec)
-    cell = tiled.groupBy(seg, dec).agg(F.avg("bureau_delinquency_rate").alias("avg_segment_delinquency"),
-                                       F.max("inst_max_days_late").alias("max_segment_days_late"))
+    cell = tiled.groupBy(F.col(seg).alias("_seg"), F.col(dec).alias("_dec")).agg(
+        F.avg("bureau_delinquency_rate").alias("avg_segment_delinquency"),
+        F.max("inst_max_days_late").alias("max_segment_days_late"))
     label = tiled.groupBy(F.col("default_flag").alias("_flag")).agg(
         F.avg("inst_late_rate").alias("late_payment_rate_by_default"))
-    return tiled.join(F.broadcast(cell), [seg, dec], "left").join(
-        F.broadcast(label), F.col("default_flag").eqNullSafe(F.col("_flag")), "left").drop("_flag")
+    same_cell = F.col(seg).eqNullSafe(F.col("_seg")) & (F.col(dec) == F.col("_dec"))
+    return (tiled.join(broadcast_if_small(cell), same_cell, "left")
+            .join(broadcast_if_small(label), F.col("default_flag").eqNullSafe(F.col("_flag")), "left")
+            .drop("_seg", "_dec", "_flag"))
 
 
 def rate_by_score_decile(fact: DataFrame, tiles: int = 10) -> DataFrame:

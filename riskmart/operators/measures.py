@@ -87,7 +87,7 @@ def segment_rate_ignoring_filters(fact: DataFrame, *by: str) -> DataFrame:
     cells = fact.groupBy(SEG, *by).agg(F.count(F.lit(1)).alias("applications"),
                                        count_where(F.col(FLAG) == 1).alias("defaults"))
     whole = cells.groupBy(SEG).agg(F.sum("applications").alias("_n"), F.sum("defaults").alias("_d"))
-    return cells.join(F.broadcast(whole), SEG).select(
+    return cells.join(whole, SEG).select(
         SEG, *by, "applications",
         round_half_up(ratio_or("defaults", "applications") * 100, 2).alias("default_rate_pct"),
         round_half_up(ratio_or("_d", "_n") * 100, 2).alias("segment_default_rate_pct"))

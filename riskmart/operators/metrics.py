@@ -90,7 +90,7 @@ def population_stability(expected: DataFrame, actual: DataFrame, edges: Mapping[
         count_where(F.col("side") == 0).alias("e"), count_where(F.col("side") == 1).alias("a"))
     totals = counts.groupBy("feature").agg(F.sum("e").alias("te"), F.sum("a").alias("ta"))
     pe, pa = (F.greatest(F.coalesce(ratio(c, t), F.lit(0.0)), F.lit(floor)) for c, t in (("e", "te"), ("a", "ta")))
-    joined = counts.join(F.broadcast(totals), "feature")
+    joined = counts.join(totals, "feature")
     # bins empty on both sides contribute nothing: their two floors are equal
     return joined.groupBy("feature").agg(F.sum((pa - pe) * F.log(pa / pe)).alias("_psi")).select(
         "feature", round_half_up("_psi", 6).alias("psi"), (F.col("_psi") > retrain_above).alias("retrain"))

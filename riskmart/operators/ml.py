@@ -20,7 +20,7 @@ from riskmart.functions.bands import probability_tier, tier_decision
 from riskmart.functions.scalars import count_where, hash_unit, record_key, round_half_up
 from riskmart.operators.metrics import classifier_metrics, stratified_folds
 from riskmart.operators.ranking import column_quantiles, with_position
-from riskmart.session import scratch_path, stage
+from riskmart.session import scratch_path, scratch_root, stage
 
 FEATURES = list(K.FEATURES)
 
@@ -59,19 +59,19 @@ def nearest_by_projection(rows: DataFrame, key: str, dims: int, k: int = 5, proj
     """
     rng = np.random.default_rng(seed)
     met = None
-    for p in range(projections):
-        line = rng.normal(size=dims)
-        on_line = sum((F.lit(float(w)) * F.col("x")[i] for i, w in enumerate(line)), F.lit(0.0))
+    for _ in range(projections):
+        line = F.lit([float(w) for w in rng.normal(size=dims)])
+        on_line = F.aggregate(F.zip_with(F.col("x"), line, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
         placed = with_position(rows.withColumn("_t", on_line), [F.col("_t").asc(), F.col(key).asc()])
         place = (F.col("_pos") - 1) % block
         mine = F.floor((F.col("_pos") - 1) / block)
         homes = F.array_compact(F.array(mine, F.when(place < k, mine - 1), F.when(place >= block - k, mine + 1)))
         spread = placed.select(key, "x", "_pos", mine.alias("_home"), F.explode(homes).alias("_block"))
         here = F.struct(F.col(key).alias("id"), F.col("x").alias("x"))
-        order = Window.partitionBy("_block").orderBy("_pos")
-        around = F.array_compact(F.array(*[F.lag(here, i).over(order) for i in range(1, k + 1)],
-                                         *[F.lead(here, i).over(order) for i in range(1, k + 1)]))
-        seen = spread.withColumn("near", around).filter(F.col("_home") == F.col("_block")).select(key, "x", "near")
+        around = F.collect_list(here).over(Window.partitionBy("_block").orderBy("_pos").rowsBetween(-k, k))
+        others = F.filter(F.col("_around"), lambda c: c["id"] != F.col(key))
+        seen = (spread.withColumn("_around", around).filter(F.col("_home") == F.col("_block"))
+                .select(key, "x", others.alias("near")))
         met = seen if met is None else met.unionByName(seen)
     merged = met.groupBy(key).agg(F.first("x").alias("x"), F.flatten(F.collect_list("near")).alias("near"))
 
@@ -130,6 +130,9 @@ def fit_trees(train: DataFrame, features: Sequence[str] = FEATURES, label: str =
               positive_weight: float = K.TREE_PARAMS["positive_weight"], seed: int = 42,
               checkpoint_interval: int = 10) -> PipelineModel:
     """Boosted trees; rows of label 1 carry ``positive_weight``."""
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # hundreds of trees need their lineage cut on the way
+        context.setCheckpointDir(scratch_root(train.sparkSession))
     weighted = train.withColumn("_weight", F.when(F.col(label) == 1, positive_weight).otherwise(1.0))
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="raw"),
@@ -169,9 +172,9 @@ def cross_validate(df: DataFrame, fit, folds: int = 5, label: str = "label", key
                    oversample=None, reference_order: bool = False) -> CrossValidation:
     """Mean and spread of the exact AUC over stratified folds.
 
-    ``oversample`` is applied to the training folds only; ``reference_order`` applies it to the whole
-    table before the folds are cut, as the original study did, which lets new points of a row reach the
-    fold the row is tested in.
+    ``oversample`` is applied to the training folds only. ``reference_order`` applies it to the whole
+    table before the folds are cut; points made from a row can then reach the fold the row is tested in,
+    so the AUC comes out too high.
     """
     if oversample is not None and reference_order:
         grown = oversample(df)

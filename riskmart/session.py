@@ -2,36 +2,52 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_scratch: dict[str, str] = {}
 
 
-def build_session(app: str = "riskmart", cores: int | str = "*", shuffle_partitions: int | None = None,
+# Settings of every session.
+COMMON = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.ansi.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+# On a cluster: start with many shuffle partitions and let adaptive execution merge them to a size that
+# fits a task's memory, read large splits, and split a skewed join even where that costs a shuffle.
+CLUSTER = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
+def build_session(app: str = "riskmart", cores: int | str | None = "*", shuffle_partitions: int | None = None,
                   **conf: str) -> SparkSession:
-    """A session with the settings every job here expects.
+    """A local session on ``cores`` threads, or with ``cores=None`` one on the cluster of spark-submit.
 
-    On a cluster the master, memory and shuffle partitions come from spark-submit; the arguments are
-    for local runs.
+    Further settings are given with ``__`` for the dots: ``spark__driver__memory="8g"``.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.ansi.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    if "SPARK_MASTER" not in os.environ:
-        builder = builder.master(f"local[{cores}]").config("spark.ui.enabled", "false")
+    settings = dict(COMMON)
+    builder = SparkSession.builder.appName(app)
+    if cores is None:
+        settings |= CLUSTER
+    else:
+        builder = builder.master(f"local[{cores}]")
+        settings["spark.ui.enabled"] = "false"
     if shuffle_partitions is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    settings |= {key.replace("__", "."): value for key, value in conf.items()}
+    for key, value in settings.items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
@@ -65,3 +81,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A join side that is broadcast only after its rows were counted; a larger one is left to the optimizer.
+
+    The side is written first, so it is computed once for the count and the join.
+    """
+    side = stage(df, "side")
+    return F.broadcast(side) if side.count() <= max_rows else side
