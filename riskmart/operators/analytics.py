@@ -91,7 +91,7 @@ def annual_rate(raw_macro: DataFrame, date_col: str = "date", rate_col: str = "o
     return raw_macro.select(
         F.year(F.try_to_date(F.col(date_col), "yyyy-MM-dd")).alias("yr"),
         F.col(rate_col).try_cast("double").alias("rate"),
-    ).groupBy("yr").agg(round_half_up(F.avg("rate"), 6).alias("avg_overnight_rate"))
+    ).groupBy("yr").agg(F.round(F.avg("rate"), 12).alias("avg_overnight_rate"))
 
 
 def macro_by_year(applications: DataFrame, raw_macro: DataFrame, as_of: str, offset_col: str = "days_decision",

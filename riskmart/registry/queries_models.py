@@ -200,7 +200,7 @@ FROM application_train JOIN (SELECT sk_id_curr, COUNT(*) AS n, COUNT(*) FILTER (
 def _macro_by_year(b: Bound) -> DataFrame:
     labels = b.staged["stg_application_train"].select(F.col("applicant_id").alias("sk_id_curr"), F.col("default_flag").alias("target"))
     dated = b.raw["previous_application"].select("sk_id_curr", "days_decision").join(labels, "sk_id_curr")
-    return cast_long(an.macro_by_year(dated, b.raw["boc_macro"], AS_OF), "application_year")
+    return cast_long(rounded(an.macro_by_year(dated, b.raw["boc_macro"], AS_OF), 6, "avg_overnight_rate"), "application_year")
 
 
 add("macro_by_year", _macro_by_year, f"""

@@ -21,6 +21,7 @@ from riskmart.session import scratch_path, stage
 from riskmart.sources import macro_json as mj
 from riskmart.sources import raw_csv as rc
 from riskmart.sources.credit_binding import RAW_TABLES
+from riskmart.sources.schemas import raw_schema
 from riskmart.sources.tables import LayerStore, VersionedTable, feature_store_summary, write_csv
 from riskmart.streaming import jobs
 
@@ -68,6 +69,18 @@ add("csv_quarantine", lambda b: rc.read_raw_csv(b.spark, _csv_of(b, _with_bad_te
     FROM previous_application WHERE name_contract_status = 'Canceled'""")
 
 
+def _delivered(b: Bound) -> DataFrame:
+    """A delivered file: upper-case header, columns in another order, columns nobody reads."""
+    raw = b.raw["installments_payments"].withColumn("unused", F.lit("x"))
+    shuffled = raw.select(*[F.col(c).alias(c.upper()) for c in sorted(raw.columns, reverse=True)])
+    good, _ = rc.read_delivered_csv(b.spark, _csv_of(b, shuffled, "csv"), raw_schema("installments_payments"))
+    return cast_long(good, "num_instalment_number")
+
+
+add("csv_delivered_file", _delivered, """SELECT sk_id_curr, sk_id_prev, num_instalment_version, CAST(num_instalment_number AS BIGINT) AS num_instalment_number,
+  days_instalment, days_entry_payment, amt_instalment, amt_payment FROM installments_payments""")
+
+
 def _ragged(b: Bound) -> DataFrame:
     """Lines of two, three and four fields read as three."""
     d = b.raw["previous_application"]

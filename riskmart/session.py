@@ -18,6 +18,7 @@ COMMON = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no stack capture per expression
 }
 # On a cluster: start with many shuffle partitions and let adaptive execution merge them to a size that
 # fits a task's memory, read large splits, and split a skewed join even where that costs a shuffle.

@@ -86,3 +86,10 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, *keys: str) -> DataF
     if existing is None:
         return incoming
     return existing.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
+
+
+def load_since(existing: DataFrame | None, long: DataFrame, last_date: str) -> tuple[str, DataFrame | None]:
+    """("load", table with the newer observations) or ("skip", table as it is) when there are none."""
+    fresh = since(long, last_date)
+    action = load_or_skip(fresh.count())
+    return action, (existing if action == "skip" else upsert(existing, fresh, "obs_date", "series"))

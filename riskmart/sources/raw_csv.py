@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskmart.constants import NULL_TOKENS
+from riskmart.sources.schemas import FILES, raw_schema
 
 CONTINUE, ABORT = "CONTINUE", "ABORT_STATEMENT"
 
@@ -47,7 +48,7 @@ def read_text_stream(spark: SparkSession, path: str, names: Sequence[str]) -> Da
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Turn the NULL spellings of text columns into NULL."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.when(~F.trim(c).isin(*tokens), F.col(c)) for c in texts})
+    return df.withColumns({c: F.when(~F.col(c).isin(*tokens), F.col(c)) for c in texts})
 
 
 def split_types(text: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -72,7 +73,11 @@ class LoadError(RuntimeError):
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, on_error: str = CONTINUE) -> tuple[DataFrame, DataFrame]:
     """Typed rows and quarantine; in abort mode any quarantined row raises."""
-    good, bad = split_types(null_tokens(read_text(spark, path, schema.names)), schema)
+    return _typed(path, read_text(spark, path, schema.names), schema, on_error)
+
+
+def _typed(path: str, text: DataFrame, schema: T.StructType, on_error: str) -> tuple[DataFrame, DataFrame]:
+    good, bad = split_types(null_tokens(text), schema)
     if on_error == ABORT:
         first = bad.limit(1).collect()
         if first:
@@ -80,6 +85,33 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, on_error:
     return good, bad
 
 
+def read_delivered_csv(spark: SparkSession, path: str, schema: T.StructType,
+                       on_error: str = CONTINUE) -> tuple[DataFrame, DataFrame]:
+    """Like ``read_raw_csv``, but columns are found by the file's header in any case and order.
+
+    Delivered files carry many more columns than the models read; only those of ``schema`` are parsed
+    into rows. The header itself costs one read of a file's first line.
+    """
+    text = _csv_options(spark.read).csv(path)
+    have = {c.lower(): c for c in text.columns}
+    missing = [n for n in schema.names if n.lower() not in have]
+    if missing:
+        raise LoadError(f"{path}: no column {', '.join(missing)}")
+    wanted = text.select(*[F.col(f"`{have[n.lower()]}`").alias(n) for n in schema.names])
+    return _typed(path, wanted, schema, on_error)
+
+
+def load_delivery(spark: SparkSession, folder: str, target: str, now: datetime | None = None) -> DataFrame:
+    """Load every delivered file of the folder into ``target``, each on its own, with its load time; the
+    quarantined rows of a table go beside it. Returns the report of ``load_many``."""
+    def read(table: str, file: str) -> DataFrame:
+        good, bad = read_delivered_csv(spark, f"{folder}/{file}", raw_schema(table))
+        full_refresh(bad, f"{target}/quarantine/{table}")
+        return with_loaded_at(good, now)
+
+    return load_many(spark, {t: lambda t=t, f=f: read(t, f) for t, f in FILES.items()}, target)
+
+
 def infer_table_schema(spark: SparkSession, path: str, sample_rows: int = 100) -> T.StructType:
     """Types from the first rows: whole numbers without gaps, numbers, true/false without gaps, else text.
     Names come out in upper case."""

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from riskmart.sources import macro_json as mj
 from riskmart.sources import raw_csv as rc
+from riskmart.sources import schemas
 from riskmart.sources.tables import LayerStore, feature_store_summary, layer_name, lower_names
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("v", T.DoubleType())])
@@ -112,3 +113,41 @@ def test_feature_store(spark):
     df = spark.createDataFrame([(1, 0), (2, 1)], "APPLICANT_ID int, LABEL int")
     assert lower_names(df).columns == ["applicant_id", "label"]
     assert tuple(feature_store_summary(df).first()) == (2, 2, 0.5)
+
+
+def test_load_since(spark, rows):
+    old = spark.createDataFrame([("2024-01-01", "X", 1.0)], "obs_date string, series string, value double")
+    feed = spark.createDataFrame([("2024-01-01", "X", 9.0), ("2024-01-02", "X", 2.0)], "obs_date string, series string, value double")
+    assert mj.load_since(old, feed, "2024-02-01") == ("skip", old)
+    action, out = mj.load_since(old, feed, "2024-01-02")
+    assert action == "load" and [r["value"] for r in rows(out, "obs_date")] == [1.0, 2.0]
+
+
+def test_delivered_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bureau_balance.csv").write_text("STATUS,SK_ID_BUREAU,OTHER,MONTHS_BALANCE\nC,1,x,-1\n0,oops,y,-2\n,2,z,NULL\n")
+    report = {r["table"]: r for r in rc.load_delivery(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    assert len(report) == 8 and report["bureau_balance"]["rows"] == 2 and report["bureau"]["status"] == "failed"
+    out = spark.read.parquet(str(tmp_path / "out" / "bureau_balance"))
+    assert sorted(map(tuple, out.drop("loaded_at").collect())) == [(1, -1, "C"), (2, None, None)]
+    assert spark.read.parquet(str(tmp_path / "out" / "quarantine" / "bureau_balance")).first()["sk_id_bureau"] == "oops"
+    write(tmp_path, "STATUS\nC\n")
+    with pytest.raises(rc.LoadError, match="no column sk_id_bureau, months_balance"):
+        rc.read_delivered_csv(spark, str(tmp_path / "in.csv"), schemas.raw_schema("bureau_balance"))
+
+
+def test_raw_schemas(spark):
+    assert set(schemas.DDL) == set(schemas.FILES) and len(schemas.raw_schema("application_train")) == 28
+    good = spark.createDataFrame([(1, 2, "C", 9)], "SK_ID_BUREAU bigint, months_balance int, status string, extra int")
+    assert schemas.require_schema(good, "bureau_balance").columns == ["sk_id_bureau", "months_balance", "status"]
+    with pytest.raises(schemas.SchemaError, match="status is missing"):
+        schemas.require_schema(good.drop("status"), "bureau_balance")
+    with pytest.raises(schemas.SchemaError, match="months_balance is bigint, not int"):
+        schemas.require_schema(good.withColumn("months_balance", F.lit(1).cast("long")), "bureau_balance")
+
+
+@pytest.mark.parametrize("table", sorted(schemas.DDL))
+def test_bound_tables_have_the_raw_schema(spark, table):
+    from riskmart.registry.bound import Bound
+
+    assert schemas.require_schema(Bound(spark, "/root/testdata/sf0.001").raw[table], table).columns == schemas.raw_schema(table).names
