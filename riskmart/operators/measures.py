@@ -122,7 +122,7 @@ def decision_funnel(fact: DataFrame) -> DataFrame:
     counts = fact.groupBy(SEG).agg(F.count(F.lit(1)).alias("applications"))
     labels = fact.sparkSession.createDataFrame(list(K.SEGMENT_DECISION.items()), "segment string, decision string")
     dim = segment_dimension(fact.sparkSession).select(F.col(SEG).alias("segment"), "risk_order").join(labels, "segment")
-    return F.broadcast(dim).join(counts, F.col("segment") == F.col(SEG), "left").select(
+    return dim.join(counts, F.col("segment") == F.col(SEG), "left").select(
         "risk_order", F.col("segment").alias(SEG), "decision",
         F.coalesce(F.col("applications"), F.lit(0)).alias("applications")).orderBy("risk_order")
 

@@ -15,7 +15,8 @@ from riskmart.plans import run
 from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
 from riskmart.registry.queries_models import _FACT_MONEY, _FACT_SQL, _fact_output
-from riskmart.registry.queries_rules import _ALERTS, _alert_sql
+from riskmart.registry.queries_reports import _DECIDED, _TIERED
+from riskmart.registry.queries_rules import _ALERTS, _alert_sql, _reasons_sql
 from riskmart.registry.sql import TABLES, rnd
 from riskmart.session import scratch_path, stage
 from riskmart.sources import macro_json as mj
@@ -265,9 +266,15 @@ def _stream_score(b: Bound) -> DataFrame:
         "composite_risk_score", F.least("composite_risk_score", F.lit(1.0)))
     scored = jobs.score_applications(_stream_of(requests, base), lambda d: ml.with_tier(
         d.withColumn("score", F.col("composite_risk_score") / F.lit(3.0))), "event_time")
-    jobs.write_stream(scored.select("user_id", "event_id", "default_probability", "risk_tier", "decision"),
+    jobs.write_stream(scored.select("user_id", "default_probability", "risk_tier", "decision"),
                       f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return b.spark.read.parquet(f"{base}/out")
 
 
-add("stream_scoring", _stream_score)
+# all requests arrive in one batch, so every repeat of a record is held back
+add("stream_scoring", _stream_score, f"""
+SELECT user_id, {rnd('p', 4)} AS default_probability, {_TIERED} AS risk_tier, {_DECIDED} AS decision
+FROM (SELECT applicant_id AS user_id, composite_risk_score / CAST(3 AS DOUBLE) AS p, {_reasons_sql()} AS reasons
+  FROM (SELECT * REPLACE (LEAST(cc_avg_utilization, 3) AS cc_avg_utilization, LEAST(composite_risk_score, 1) AS composite_risk_score)
+    FROM mart_credit_application_fact))
+WHERE reasons = '' AND user_id IN (SELECT user_id FROM events)""")
