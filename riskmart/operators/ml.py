@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -293,24 +295,26 @@ def leaf_paths(model: PipelineModel, spark) -> list[tuple[float, np.ndarray, np.
 def shapley_of_leaves(x: np.ndarray, leaves) -> np.ndarray:
     """Shapley values of the tree score for a batch of rows.
 
-    A leaf pays its value when all its features are met; a feature left out counts with its training
-    share. For one leaf that game is a product over its few features, so each feature's value is a
-    weighted sum of the coefficients of a small polynomial, built one feature at a time.
+    A leaf pays its value when the conditions of all its features are met; a feature left out counts with
+    its training share. For such a product the Shapley weights turn into an integral over t of the product
+    of ``share·(1-t) + met·t`` over the other features. That is a polynomial in t, so a few Gauss nodes
+    give it exactly.
     """
     out = np.zeros(x.shape)
+    rules: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for value, f, lo, hi, share in leaves:
         d = len(f)
+        if d == 0:
+            continue
+        if d not in rules:
+            at, weight = np.polynomial.legendre.leggauss((d + 1) // 2)
+            rules[d] = ((at + 1) / 2, weight / 2)
         met = ((x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
-        for i in range(d):
-            coef = np.zeros((x.shape[0], d))  # coef[s]: sum over sets of s other features
-            coef[:, 0] = 1.0
-            for j in range(d):
-                if j != i:
-                    shifted = np.zeros_like(coef)
-                    shifted[:, 1:] = coef[:, :-1]
-                    coef = coef * share[j] + shifted * met[:, [j]]
-            w = np.array([math.factorial(s) * math.factorial(d - s - 1) / math.factorial(d) for s in range(d)])
-            out[:, f[i]] += value * (coef @ w) * (met[:, i] - share[i])
+        others = np.zeros_like(met)
+        for t, w in zip(*rules[d]):
+            factor = share * (1 - t) + met * t
+            others += w * factor.prod(axis=1, keepdims=True) / factor
+        out[:, f] += value * (met - share) * others
     return out
 
 
@@ -318,6 +322,7 @@ def with_tree_contributions(model: PipelineModel, df: DataFrame, features: Seque
                             name: str = "contributions") -> DataFrame:
     """Add an array of per-feature contributions to the log-odds, in feature order."""
     spark = df.sparkSession
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the executors need no copy of this package
     shared = spark.sparkContext.broadcast(leaf_paths(model, spark))
 
     @F.pandas_udf("array<double>")

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskmart.functions import bands, scalars
@@ -91,3 +95,13 @@ def test_composite_score_caps_only_the_ratio(spark):
     assert score(0.0, 0.0, 20.0, 30.0, 0.0) == 1.7
     assert score(None, None, 1.5, None, None) == 0.03
     assert score(0.1, 0.1, None, 0.1, 0.1) is None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-10**9, 10**9), st.integers(0, 6)), min_size=1, max_size=300), st.integers(0, 4))
+def test_rounding_equals_decimal_rounding(spark, values, digits):
+    """Doubles read off short decimals round as the decimals do, ties included."""
+    exact = [Decimal(m).scaleb(-e) for m, e in values]
+    df = spark.createDataFrame([(i, float(d)) for i, d in enumerate(exact)], "i int, x double")
+    got = [r["y"] for r in df.select("i", scalars.round_half_up("x", digits).alias("y")).orderBy("i").collect()]
+    assert got == [float(d.quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)) for d in exact]

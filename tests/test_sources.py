@@ -151,3 +151,13 @@ def test_bound_tables_have_the_raw_schema(spark, table):
     from riskmart.registry.bound import Bound
 
     assert schemas.require_schema(Bound(spark, "/root/testdata/sf0.001").raw[table], table).columns == schemas.raw_schema(table).names
+
+
+def test_catalog_layers(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE risk_marts LOCATION '{tmp_path}/risk_marts'")
+    try:
+        store = LayerStore(spark, database="risk")
+        store.put("MARTS", "t", spark.range(5))
+        assert store.put("MARTS", "t", spark.range(3)).count() == 3 == spark.table("risk_marts.t").count()
+    finally:
+        spark.sql("DROP DATABASE risk_marts CASCADE")
