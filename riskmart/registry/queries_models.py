@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.constants import FEATURES, UNEMPLOYED_DAYS
@@ -14,7 +12,7 @@ from riskmart.operators import analytics as an
 from riskmart.operators import features as feat
 from riskmart.operators import staging as st
 from riskmart.operators.ranking import column_quantiles, with_ntile
-from riskmart.plans.marts import SUMMARY_KEYS, labelled_rows, portfolio_summary
+from riskmart.plans.marts import labelled_rows, portfolio_summary
 from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
 from riskmart.registry.sql import age, div, income, ladder, rnd

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.constants import FEATURES, RECORD_BOUNDS
-from riskmart.functions import bands
-from riskmart.functions.scalars import round_half_up
+from riskmart.constants import FEATURES
 from riskmart.operators import measures as me
 from riskmart.operators import metrics as mt
 from riskmart.operators import ml
 from riskmart.operators import policy as po
-from riskmart.operators.ranking import exact_quantiles
 from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
 from riskmart.registry.sql import SCORE_TERMS, age, div, income, ladder, rnd

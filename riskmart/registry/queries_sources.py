@@ -12,9 +12,9 @@ from riskmart.constants import FEATURES, MACRO_SERIES
 from riskmart.operators import ml
 from riskmart.operators.analytics import load_counts
 from riskmart.plans import run
-from riskmart.registry.bound import Bound, cast_long, rounded
+from riskmart.registry.bound import Bound, cast_long
 from riskmart.registry.catalog import add
-from riskmart.registry.queries_models import _FACT_MONEY, _FACT_SQL, _fact_output
+from riskmart.registry.queries_models import _FACT_SQL, _fact_output
 from riskmart.registry.queries_reports import _DECIDED, _TIERED
 from riskmart.registry.queries_rules import _ALERTS, _alert_sql, _reasons_sql
 from riskmart.registry.sql import TABLES, rnd
