@@ -102,7 +102,7 @@ def write_warc(records: DataFrame, folder: str, file_bytes: int = 1 << 30) -> Da
             for page_id, url, payload, refers in zip(*columns):
                 if out is None:
                     fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(f"{root}/part-{attempt:010d}-{len(done):04d}.warc.gz")
+                    out = fs.open_output_stream(f"{root}/part-{attempt:010d}-{len(done):04d}.warc.gz", compression=None)
                 member = encode_record(_urn(page_id.as_py()), url.as_py(), payload.as_py(),
                                        None if refers.as_py() is None else _urn(refers.as_py()))
                 out.write(member)
