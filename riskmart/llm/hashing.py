@@ -78,10 +78,11 @@ def blocks(texts: pa.Array, most: int = BLOCK_BYTES) -> Iterator[tuple[int, int,
         first = last
 
 
-def word_hashes(hasher: RangeHash, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, in order, and the place of each text's first word (one more at the end)."""
+def word_ranges(hasher: RangeHash, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of all words of the texts, in order: hashes; each text's first word (and the end); start and end bytes."""
     if len(data) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), none, none
     inside = ~_SPACE[data]
     fresh = np.ones(len(data), bool)
     fresh[1:] = ~inside[:-1]
@@ -93,7 +94,11 @@ def word_hashes(hasher: RangeHash, data: np.ndarray, bounds: np.ndarray) -> tupl
     over[edges - 1] = True
     ends = np.flatnonzero(inside & over) + 1
     hashes = hasher.ranges(hasher.prefix(data), starts, ends)
-    return hashes, np.searchsorted(starts, bounds)
+    return hashes, np.searchsorted(starts, bounds), starts, ends
+
+
+def word_hashes(hasher: RangeHash, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return word_ranges(hasher, data, bounds)[:2]
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

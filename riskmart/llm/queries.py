@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, url_filter, warc
+from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, url_filter, warc
 from riskmart.llm.common import id_out, table
 from riskmart.session import scratch_path
 
@@ -98,6 +98,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     AND 100 * (word_chars - kept_chars) <= 50 * word_chars AS kept, kept_chars
 FROM m"""
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -174,6 +178,7 @@ FROM documents o JOIN res ON o.doc_id IS NOT DISTINCT FROM res.doc_id AND o.text
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_mixing": op4_mixing,
     "op5_ngram_join": op5_ngram_join,
     "op6_url_filters": op6_url_filters,
