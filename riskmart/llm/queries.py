@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, url_filter, warc
+from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, suffix_dedup, url_filter, warc
 from riskmart.llm.common import id_out, table
 from riskmart.session import scratch_path
 
@@ -175,6 +175,10 @@ res AS (SELECT doc_id, text, CASE WHEN text IS NULL THEN 0 ELSE len(ls) END::BIG
 SELECT o.doc_id, n_lines, n_dropped, length(cleaned)::BIGINT AS kept_chars, md5(cleaned) AS kept_md5
 FROM documents o JOIN res ON o.doc_id IS NOT DISTINCT FROM res.doc_id AND o.text IS NOT DISTINCT FROM res.text"""
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -185,6 +189,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 ORACLE: dict[str, str] = {"op6_url_filters": OP6_SQL, "op7_quality_rules": OP7_SQL,
                           "op8_decontamination": OP8_SQL, "op9_line_dedup": OP9_SQL}
