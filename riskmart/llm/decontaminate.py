@@ -42,9 +42,12 @@ def seeds_at(hashes: str, i: Column) -> Column:
 
 
 def with_seeds(rows: DataFrame, hashes: str, place: str) -> DataFrame:
-    """A row for each place and mask of ``hashes``, with ``place`` and ``seed``."""
-    runs = rows.filter(F.size(hashes) >= SPAN).withColumn(
-        place, F.explode(F.sequence(F.lit(0), F.size(hashes) - SPAN)))
+    """A row for each place and mask of ``hashes``, with ``place`` and ``seed``; none for fewer than ``SPAN`` words.
+
+    The outer form of explode keeps the optimizer from testing the array, and so hashing the text, once more.
+    """
+    starts = F.when(F.size(hashes) >= SPAN, F.sequence(F.lit(0), F.size(hashes) - SPAN))
+    runs = rows.withColumn(place, F.explode_outer(starts)).filter(F.col(place).isNotNull())
     return runs.withColumn("seed", F.explode(seeds_at(hashes, F.col(place))))
 
 
@@ -78,22 +81,26 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             before = before & equal
         follows = before if follows is None else follows | before
     starts = met.filter(~((F.col("place") > 0) & (F.col("item_place") > 0) & follows))
-    shift = F.col("place") - F.col("item_place")
-    laid = starts.withColumn("from", F.greatest(F.lit(0), -shift)).withColumn(
-        "n", F.least(F.size("item"), F.size("words") - shift) - F.col("from"))
-    laid = laid.withColumn("equal", F.zip_with(
-        F.slice("words", shift + F.col("from") + 1, F.col("n")), F.slice("item", F.col("from") + 1, F.col("n")),
-        lambda a, b: (a == b).cast("int")))
-    width = F.least(F.lit(WINDOW), F.size("item"))
-    laid = laid.withColumn("width", width).filter(F.col("n") >= F.col("width"))
+    # what is laid on each other, once for each shift. It is written, so that the comparison stays behind the
+    # join: within its condition, every row of the join would carry its words.
+    begin = F.greatest(F.lit(0), -F.col("shift"))
+    laid = stage(starts.withColumn("shift", F.col("place") - F.col("item_place"))
+            .withColumn("from", begin)
+            .withColumn("n", F.least(F.size("item"), F.size("words") - F.col("shift")) - F.col("from"))
+            .withColumn("width", F.least(F.lit(WINDOW), F.size("item")))
+            .filter(F.col("n") >= F.col("width"))
+            .select("id", "th", "item_id", "shift", "from", "n", "width",
+                    F.slice("words", F.col("shift") + F.col("from") + 1, F.col("n")).alias("words"),
+                    F.slice("item", F.col("from") + 1, F.col("n")).alias("item")).distinct(), "laid")
+    laid = laid.withColumn("equal", F.zip_with("words", "item", lambda a, b: (a == b).cast("int")))
     laid = laid.withColumn("sums", F.transform(
         F.sequence(F.lit(1), F.col("n") - F.col("width") + 1),
         lambda s: F.aggregate(F.slice("equal", s, F.col("width")), F.lit(0), lambda a, x: a + x)))
     good = laid.withColumn("matched", F.array_max("sums")).filter(
         100 * F.col("matched") >= MIN_EQUAL_PERCENT * F.col("width"))
+    first = F.col("shift") + F.col("from")
     return good.groupBy("id", "th", "item_id").agg(
-        F.max("matched").alias("matched"), F.min(shift + F.col("from")).alias("first_word"),
-        F.max(shift + F.col("from") + F.col("n") - 1).alias("last_word"))
+        F.max("matched").alias("matched"), F.min(first).alias("first_word"), F.max(first + F.col("n") - 1).alias("last_word"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
