@@ -74,8 +74,9 @@ def _step(table: np.ndarray, weight: np.ndarray, x: np.ndarray, h: np.ndarray):
     return z, r, n, m, new
 
 
-def probabilities(net: Network, x: np.ndarray) -> np.ndarray:
-    """Label probabilities (T, K, lanes) of bytes ``x`` (T, lanes)."""
+def probabilities(net: Network, x: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Label probabilities (T, K, lanes) of bytes ``x`` (T, lanes); states are zero where not ``inside``."""
+    full = bool(inside.all())
     steps, lanes = x.shape
     k = net.weights[0].shape[1]
     scores = np.empty((steps, len(net.langs), lanes), np.float32)
@@ -83,6 +84,8 @@ def probabilities(net: Network, x: np.ndarray) -> np.ndarray:
         h = np.zeros((k, lanes), np.float32)
         for t in order:
             h = _step(net.tables[d], net.weights[d], x[t], h)[-1]
+            if not full:
+                h *= inside[t]
             if d:
                 np.matmul(net.out[d], h, out=scores[t])
             else:
@@ -105,6 +108,7 @@ def gradients(net: Network, x: np.ndarray, mask: np.ndarray, labels: np.ndarray)
         for t in order:
             z, r, n, m, new = _step(net.tables[d], net.weights[d], x[t], h)
             trace[d][t] = (z, r, n, m, h)
+            new *= mask[t]
             states[d, t] = h = new
     scores = np.einsum("dkh,dthb->tkb", net.out, states) + net.bias
     scores -= scores.max(axis=1, keepdims=True)
@@ -123,7 +127,7 @@ def gradients(net: Network, x: np.ndarray, mask: np.ndarray, labels: np.ndarray)
         carry = np.zeros((k, lanes), np.float32)
         for t in order:
             z, r, n, m, h = trace[d][t]
-            dh = carry + net.out[d].T @ delta[t]
+            dh = (carry + net.out[d].T @ delta[t]) * mask[t]
             d_n = dh * (1 - z) * (1 - n * n)
             d_z = dh * (h - n) * z * (1 - z) * 2  # by half the gate's argument
             d_r = d_n * m * r * (1 - r) * 2
@@ -213,7 +217,7 @@ def pool(net: Network, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray
         steps = np.arange(size[lane[0]])[:, None]
         inside = steps < size[lane]
         x = np.where(inside, padded[place[lane] + steps], 0).astype(np.uint8)
-        p = probabilities(net, x)
+        p = probabilities(net, x, inside)
         pooled = np.einsum("tkb,tb->bk", p, inside.astype(np.float32))
         for k in range(len(net.langs)):
             sums[:, k] += np.bincount(doc[lane], pooled[:, k], len(starts))
@@ -244,7 +248,7 @@ def predict(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
                 means = pool(net, np.frombuffer(data, np.uint8), bounds[:-1], np.where(known, np.diff(bounds), 0))
                 best = means.argmax(axis=1)
                 lang[known] = np.array(net.langs, object)[best[known]]
-                score[known] = np.clip(means[np.arange(len(best)), best][known], 0, 1)
+                score[known] = np.clip(np.round(means[np.arange(len(best)), best][known], 6), 0, 1)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(lang.tolist(), pa.string()),
                                               pa.array(score)], [*names, "lang_pred", "score"])
 
