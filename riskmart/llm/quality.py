@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import SPACES, WORD, words
+from riskmart.llm.common import SPACES, n_words, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -19,17 +19,18 @@ SYMBOLS = "#*$%&|<>"
 # A line fails by: many separators (navigation), symbols on words (junk), no sentence mark in a short
 # line (heading or menu), or a stock phrase (boilerplate).
 NAVIGATION = r"(?:[|»›·•][^|»›·•]*){3}"
-JUNK = r"(?:\S*[\p{L}\p{N}][#*$%&<>]{2,}\S*\s+){2}\S*[#*$%&<>]{2,}"
+JUNK, JUNK_WORDS = r"[\p{L}\p{N}][#*$%&<>]{2,}", 3
 SENTENCE_MARK = r"[.!?…。:;]"
-SHORT_LINE = rf"^\s*(?:{WORD}\s*){{1,7}}$"
+SHORT_LINE = 7
 BOILERPLATE = (r"(?i)all rights reserved|(?:licensed|released) under|terms of (?:use|service)|privacy policy|"
                r"accept (?:all )?cookies|click here|subscribe to|sign (?:in|up) to|enable javascript|lorem ipsum")
 
 
 def line_passes(line: Column) -> Column:
     """Blank lines pass; they carry no text."""
-    heading = ~line.rlike(SENTENCE_MARK) & line.rlike(SHORT_LINE)
-    return ~(line.rlike(NAVIGATION) | line.rlike(BOILERPLATE) | line.rlike(JUNK) | heading)
+    heading = ~line.rlike(SENTENCE_MARK) & n_words(line).between(1, SHORT_LINE)
+    junk = F.regexp_count(line, F.lit(JUNK)) >= JUNK_WORDS
+    return ~(line.rlike(NAVIGATION) | line.rlike(BOILERPLATE) | junk | heading)
 
 
 def without(text: Column, characters: str) -> Column:
@@ -55,15 +56,16 @@ def measures(docs: DataFrame, *keep: str) -> DataFrame:
                        lambda b, a: F.least(F.lit(3), F.coalesce(b - a, F.lit(0))))
     lines = F.split("text", "\n", -1)
     full = F.filter(lines, lambda x: F.length(without(x, SPACES)) > 0)
-    return (placed
-            .withColumn("full", full)
-            .select(*keep, "text", F.size("w").cast("long").alias("n_words"),
-                    F.length(without(F.col("text"), SPACES)).cast("long").alias("word_chars"),
-                    (F.length("text") - F.length(without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
-                    (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
-                    F.when(F.size("at") > 0, 3 + F.aggregate(steps, F.lit(0), lambda s, x: s + x))
-                    .otherwise(0).cast("long").alias("n_repeat_words"),
-                    F.array_join(F.filter(lines, line_passes), "\n").alias("cleaned")))
+    counts = F.struct(
+        F.size("w").cast("long").alias("n_words"),
+        F.length(without(F.col("text"), SPACES)).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
+        (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
+        F.when(F.size("at") > 0, 3 + F.aggregate(steps, F.lit(0), lambda s, x: s + x))
+        .otherwise(0).cast("long").alias("n_repeat_words"),
+        F.array_join(F.filter(lines, line_passes), "\n").alias("cleaned"))
+    # as the one row of a generator: a filter on a count stays above it and is not worked out per element below
+    return placed.withColumn("full", full).select(*keep, "text", F.inline(F.array(counts)))
 
 
 def judge(docs: DataFrame, *keep: str, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:

@@ -80,9 +80,9 @@ lines AS (SELECT k, i, ls[i] AS line FROM (
 marked AS (SELECT k, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
   regexp_matches(line, '([|»›·•][^|»›·•]*){3}')
   OR regexp_matches(line, '(?i)all rights reserved|(licensed|released) under|terms of (use|service)|privacy policy|accept (all )?cookies|click here|subscribe to|sign (in|up) to|enable javascript|lorem ipsum')
-  OR regexp_matches(line, '([^ \t\n\x0B\f\r]*[\p{L}\p{N}][#*$%&<>]{2,}[^ \t\n\x0B\f\r]*[ \t\n\x0B\f\r]+){2}[^ \t\n\x0B\f\r]*[#*$%&<>]{2,}')
+  OR len(regexp_extract_all(line, '[\p{L}\p{N}][#*$%&<>]{2,}')) >= 3
   OR (NOT regexp_matches(line, '[.!?…。:;]')
-      AND regexp_matches(line, '^[ \t\n\x0B\f\r]*([^\x20\x09-\x0D]+[ \t\n\x0B\f\r]*){1,7}$')) AS bad
+      AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) BETWEEN 1 AND 7) AS bad
   FROM lines),
 l AS (SELECT k, count(*) FILTER (chars > 0) - count(DISTINCT line) FILTER (chars > 0) AS dup,
   coalesce(sum(chars) FILTER (NOT bad), 0)::BIGINT AS kept_chars FROM marked GROUP BY k),
