@@ -21,6 +21,11 @@ def round_half_up(c: Column | str, digits: int) -> Column:
     return F.round(F.round(col_of(c), digits + 6), digits)
 
 
+def round_once(c: Column | str, digits: int) -> Column:
+    """Round half away from zero, once: for values of a single row, which carry no summing noise."""
+    return F.round(col_of(c), digits)
+
+
 def _unless_any_null(cols: list[Column], value: Column) -> Column:
     any_null = reduce(lambda a, b: a | b, [c.isNull() for c in cols])
     return F.when(~any_null, value)
@@ -75,9 +80,9 @@ def years_back(days: Column | str) -> Column:
 
 
 def record_key(*cols: Column | str) -> Column:
-    """MD5 of the record's fields, NULLs kept apart from empty text."""
-    parts = [F.coalesce(col_of(c).cast("string"), F.lit("\\N")) for c in cols]
-    return F.md5(F.concat_ws("|", *parts))
+    """MD5 of the record's fields, each led by its length so that no two records run together; NULL is ``-``."""
+    texts = [col_of(c).cast("string") for c in cols]
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]))
 
 
 def hash_unit(seed: int, *cols: Column | str) -> Column:

@@ -37,18 +37,17 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, key: str, check_cols: Se
     closed = history.filter(~F.col("is_current"))
     old = history.filter("is_current").select(F.struct(*history.columns).alias("o"), F.col(key).alias("_ko"))
     new = incoming.select(*payload).select(F.struct(*payload).alias("n"), F.col(key).alias("_kn"))
-    pair = old.join(new, F.col("_ko") == F.col("_kn"), "full")
+    pair = old.join(new, F.col("_ko").eqNullSafe(F.col("_kn")), "full")
     same = reduce(lambda a, b: a & b, [F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in check_cols])
-    both = F.col("_ko").isNotNull() & F.col("_kn").isNotNull()
-    changed = both & ~same
+    known, given = F.col("o").isNotNull(), F.col("n").isNotNull()
+    changed = known & given & ~same
     kept = F.struct(*[F.col(f"o.{c}").alias(c) for c in payload], F.col("o.valid_from").alias("valid_from"),
                     F.when(changed, now).otherwise(F.col("o.valid_to")).alias("valid_to"),
                     (~changed).alias("is_current"), F.col("o.row_hash").alias("row_hash"))
     opened = F.struct(*[F.col(f"n.{c}").alias(c) for c in payload], now.alias("valid_from"),
                       F.lit(None).cast("timestamp").alias("valid_to"), F.lit(True).alias("is_current"),
                       _hash_of("n", key, check_cols).alias("row_hash"))
-    rows = F.array_compact(F.array(F.when(F.col("_ko").isNotNull(), kept),
-                                   F.when(changed | F.col("_ko").isNull(), opened)))
+    rows = F.array_compact(F.array(F.when(known, kept), F.when(changed | ~known, opened)))
     moved = pair.select(F.explode(rows).alias("r")).select("r.*")
     return closed.select(*payload, *META).unionByName(moved)
 

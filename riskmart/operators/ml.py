@@ -234,11 +234,11 @@ def logistic_contributions(model: PipelineModel, features: Sequence[str] = FEATU
     return linear_contributions(coef, dict(zip(features, scaler.mean)))
 
 
-def global_importance(df: DataFrame, contributions: Mapping[str, Column], key: str = "applicant_id", rows: int = 2000,
-                      seed: int = 42) -> DataFrame:
-    """Mean absolute contribution per feature over a fixed sample of ``rows`` rows."""
-    sample = df.withColumn("_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))).orderBy(
-        "_h", key).limit(rows)
+def global_importance(df: DataFrame, contributions: Mapping[str, Column], key: str = "applicant_id",
+                      rows: int | None = None, seed: int = 42) -> DataFrame:
+    """Mean absolute contribution per feature over all rows, or over a fixed sample of ``rows``."""
+    sample = df if rows is None else df.withColumn(
+        "_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))).orderBy("_h", key).limit(rows)
     wide = sample.agg(*[F.avg(F.abs(c)).alias(f) for f, c in contributions.items()])
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("v")) for f in contributions]))
     return wide.select(pairs.alias("p")).select("p.feature", round_half_up("p.v", 6).alias("mean_abs_contribution")).orderBy(

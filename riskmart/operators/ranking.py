@@ -4,9 +4,9 @@
 Spark sort everything in one task. Here the rows are range-partitioned on the full sort order, which
 ends in a unique column so even one key value held by most rows is spread, sorted inside each
 partition and written with ``monotonically_increasing_id``: its upper bits are the partition, its
-lower bits the row's place in it. Counting the written rows per partition gives each partition's
-offset, and place + offset is the exact position. One range shuffle, no driver-side data beyond one
-number per partition and group.
+lower bits the row's place in it. Counting the written rows per partition and group gives each group's
+offset in each partition, and place + offset is the exact position. One range shuffle; the counts stay a
+table, which is written too, so that the join that brings them back is planned by its size.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from riskmart.functions.scalars import col_of
 from riskmart.session import stage
 
 _LOCAL_BITS = 33  # fixed by monotonically_increasing_id
-MAX_GROUP_ROWS = 500_000
 
 
 def _sorted_stage(df: DataFrame, groups: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -29,58 +28,35 @@ def _sorted_stage(df: DataFrame, groups: Sequence[str], order: Sequence[Column])
     return stage(placed, "ranked").withColumn("_part", F.shiftright(F.col("_mid"), _LOCAL_BITS).cast("int"))
 
 
-def _bounded_collect(df: DataFrame):
-    rows = df.limit(MAX_GROUP_ROWS + 1).collect()
-    if len(rows) > MAX_GROUP_ROWS:
-        raise ValueError("too many groups for a distributed rank; use a window partitioned by the group instead")
-    return rows
+def _join_numbers(placed: DataFrame, numbers: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Bring one row per (part, group) back to its rows; NULL and NaN groups meet as in grouping."""
+    small = stage(numbers, "ranked-parts")
+    small = small.withColumnsRenamed({"_part": "_g__part", **{g: f"_g_{g}" for g in groups}})
+    cond = F.col("_part") == F.col("_g__part")
+    for g in groups:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    return placed.join(small, cond).drop("_g__part", *[f"_g_{g}" for g in groups])
 
 
-def _attach_group_numbers(df: DataFrame, groups: Sequence[str], numbers: dict[tuple, dict]) -> DataFrame:
-    """Join per-group numbers; their count was checked when they were collected."""
-    spark = df.sparkSession
-    names = list(next(iter(numbers.values())))
-    schema = df.select(*groups).schema
-    for n in names:
-        schema = schema.add(n, "long")
-    small = spark.createDataFrame([(*g, *[v[n] for n in names]) for g, v in numbers.items()], schema)
-    renamed = small.select(*[F.col(g).alias(f"_g_{g}") for g in groups], *names)
-    cond = None
-    for g in groups:
-        same = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        cond = same if cond is None else cond & same
-    return df.join(F.broadcast(renamed), cond, "left").drop(*[f"_g_{g}" for g in groups])
+def _over_parts(groups: Sequence[str]):
+    """Frames over the parts of a group: those before, and all. Without groups that is one row per partition."""
+    parts = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
+    return parts.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1), parts
 
 
 def with_position(df: DataFrame, order: Sequence[Column], partition_by: Sequence[str] = (),
                   pos: str = "_pos", total: str = "_n") -> DataFrame:
     """Add the 1-based position in the sort order and the number of rows (of the group).
 
-    ``order`` must end in a unique column and spell out its NULL order. ``partition_by`` is meant for
-    few groups; many small groups are better served by an ordinary partitioned window.
+    ``order`` must end in a unique column and spell out its NULL order.
     """
     placed = _sorted_stage(df, partition_by, order)
-    counts = _bounded_collect(placed.groupBy("_part", *partition_by).agg(F.count(F.lit(1)).alias("_c")))
-    sizes: dict[tuple, int] = {}
-    # groups follow each other in the sort order, NULL groups first, and so do the parts of a group
-    numbers, seen = {}, {}
-    for row in sorted(counts, key=lambda r: r["_part"]):
-        g = tuple(row[c] for c in partition_by)
-        seen.setdefault(g, []).append((row["_part"], row["_c"]))
-        sizes[g] = sizes.get(g, 0) + row["_c"]
-    in_part: dict[int, int] = {}
-    for g in sorted(sizes, key=lambda g: [(v is not None, v) for v in g]):
-        before = 0
-        for part, rows in seen[g]:
-            # place within the partition, less the rows of earlier groups in it, plus the group's earlier parts
-            numbers[(part, *g)] = {"_add": before - in_part.get(part, 0), total: sizes[g]}
-            in_part[part] = in_part.get(part, 0) + rows
-            before += rows
-    local = F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)) + 1
-    if not numbers:
-        return placed.withColumns({pos: local, total: F.lit(0).cast("long")}).drop("_mid", "_part")
-    ranked = _attach_group_numbers(placed, ["_part", *partition_by], numbers)
-    return ranked.withColumn(pos, local + F.col("_add")).drop("_mid", "_part", "_add")
+    counts = placed.groupBy("_part", *partition_by).agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_first"))
+    before, parts = _over_parts(partition_by)
+    numbers = counts.select("_part", *partition_by, F.sum("_c").over(parts).alias(total),
+                            (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1 - F.col("_first")).alias("_add"))
+    ranked = _join_numbers(placed, numbers, partition_by)
+    return ranked.withColumn(pos, F.col("_mid") + F.col("_add")).drop("_mid", "_part", "_add")
 
 
 def tile_of(pos: Column | str, total: Column | str, tiles: int) -> Column:
@@ -104,31 +80,16 @@ def with_running_total(df: DataFrame, order: Sequence[Column], values: Sequence[
                        partition_by: Sequence[str] = ()) -> DataFrame:
     """Add ``cum_<v>`` (sum up to and with the row) and ``all_<v>`` (sum of the group) for long columns."""
     placed = _sorted_stage(df, partition_by, order)
-    sums = _bounded_collect(placed.groupBy("_part", *partition_by).agg(
-        *[F.sum(F.coalesce(F.col(v), F.lit(0)).cast("long")).alias(f"_s_{v}") for v in values]))
+    whole = {v: F.coalesce(F.col(v), F.lit(0)).cast("long") for v in values}
+    sums = placed.groupBy("_part", *partition_by).agg(*[F.sum(whole[v]).alias(f"_s_{v}") for v in values])
+    before, parts = _over_parts(partition_by)
+    numbers = sums.select("_part", *partition_by, *[F.sum(f"_s_{v}").over(parts).alias(f"all_{v}") for v in values],
+                          *[F.coalesce(F.sum(f"_s_{v}").over(before), F.lit(0)).alias(f"_b_{v}") for v in values])
     frame = Window.partitionBy("_part", *partition_by).orderBy("_mid").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    out = placed
-    totals: dict[tuple, dict[str, int]] = {}
-    before: dict[tuple, dict[str, int]] = {}
-    for row in sorted(sums, key=lambda r: r["_part"]):
-        g = tuple(row[c] for c in partition_by)
-        seen = totals.setdefault(g, {v: 0 for v in values})
-        before[(row["_part"], *g)] = dict(seen)
-        for v in values:
-            seen[v] += row[f"_s_{v}"] or 0
-    for v in values:
-        out = out.withColumn(f"cum_{v}", F.sum(F.coalesce(F.col(v), F.lit(0)).cast("long")).over(frame))
-    if not totals:
-        for v in values:
-            out = out.withColumn(f"all_{v}", F.lit(0).cast("long"))
-        return out.drop("_mid", "_part")
-    numbers = {key: {**{f"_b_{v}": b[v] for v in values}, **{f"all_{v}": totals[key[1:]][v] for v in values}}
-               for key, b in before.items()}
-    out = _attach_group_numbers(out, ["_part", *partition_by], numbers)
-    for v in values:
-        out = out.withColumn(f"cum_{v}", F.col(f"cum_{v}") + F.col(f"_b_{v}"))
-    return out.drop("_mid", "_part", *[f"_b_{v}" for v in values])
+    out = _join_numbers(placed.withColumns({f"cum_{v}": F.sum(whole[v]).over(frame) for v in values}), numbers, partition_by)
+    return out.withColumns({f"cum_{v}": F.col(f"cum_{v}") + F.col(f"_b_{v}") for v in values}).drop(
+        "_mid", "_part", *[f"_b_{v}" for v in values])
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float], partition_by: Sequence[str] = ()) -> DataFrame:

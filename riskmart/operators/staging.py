@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart import constants as K
-from riskmart.functions.scalars import as_flag, greatest_strict, ratio, round_half_up, whole_years, years_back
+from riskmart.functions.scalars import as_flag, greatest_strict, ratio, round_once, whole_years, years_back
 
 LOADED = "dbt_loaded_at"
 
@@ -108,8 +108,8 @@ def stg_application(raw: DataFrame, now: datetime | None = None) -> DataFrame:
         *_renamed(APPLICATION_NAMES),
         whole_years("days_birth").alias("age_years"),
         employed.alias("years_employed"),
-        round_half_up(ratio("amt_credit", "amt_income_total"), 4).alias("credit_to_income_ratio"),
-        round_half_up(ratio("amt_annuity", "amt_income_total"), 4).alias("annuity_to_income_ratio"),
+        round_once(ratio("amt_credit", "amt_income_total"), 4).alias("credit_to_income_ratio"),
+        round_once(ratio("amt_annuity", "amt_income_total"), 4).alias("annuity_to_income_ratio"),
         years_back("days_registration").alias("years_since_registration"),
         years_back("days_id_publish").alias("years_since_id_publish"),
         _stamp(now),
@@ -138,7 +138,7 @@ def stg_installments(raw: DataFrame, now: datetime | None = None) -> DataFrame:
         *_renamed(INSTALLMENT_NAMES),
         greatest_strict(delay, F.lit(0.0)).alias("days_late"),
         as_flag(delay > 0).alias("is_late"),
-        round_half_up(ratio("amt_payment", "amt_instalment"), 4).alias("payment_ratio"),
+        round_once(ratio("amt_payment", "amt_instalment"), 4).alias("payment_ratio"),
         _stamp(now),
     )
 

@@ -352,7 +352,8 @@ add("scalar_text", lambda b: b.raw["application_train"].select(
     F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded")),
     """SELECT sk_id_curr, UPPER(TRIM(' ' || name_family_status || ' ')) AS upper_trimmed, LOWER(name_income_type) AS lowered,
     CAST(LENGTH(occupation_type) AS BIGINT) AS occupation_length,
-    md5(CAST(sk_id_curr AS VARCHAR) || '|' || code_gender || '|' || COALESCE(occupation_type, '\\N')) AS record_key,
+    md5(COALESCE(LENGTH(CAST(sk_id_curr AS VARCHAR)) || ':' || CAST(sk_id_curr AS VARCHAR), '-') || '|' || COALESCE(LENGTH(code_gender) || ':' || code_gender, '-') || '|'
+      || COALESCE(LENGTH(occupation_type) || ':' || occupation_type, '-')) AS record_key,
     strftime(loaded_at, '%Y-%m-%d') AS loaded FROM application_train""")
 add("unemployed_years", lambda b: b.raw["application_train"].select(
     "sk_id_curr", F.when(F.col("days_employed") != UNEMPLOYED_DAYS, scalars.whole_years("days_employed")).alias("years_employed"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.constants import FEATURES
+from riskmart.constants import FEATURES, SMOTE_SHARE
 from riskmart.operators import measures as me
 from riskmart.operators import metrics as mt
 from riskmart.operators import ml
@@ -270,8 +270,7 @@ def _factor_sql() -> str:
 
 add("linear_top_factors", _factors, _factor_sql())
 add("global_importance", lambda b: ml.global_importance(b.training, ml.linear_contributions(_COEF, _MEANS)), " UNION ALL ".join(
-    f"""SELECT '{f}' AS feature, {rnd(f'AVG(ABS(CAST({c} AS DOUBLE) * (CAST({f} AS DOUBLE) - CAST({_MEANS[f]} AS DOUBLE))))', 6)} AS mean_abs_contribution
-    FROM (SELECT * FROM ml_features_training ORDER BY md5('42:' || CAST(applicant_id AS VARCHAR)), applicant_id LIMIT 2000)""" for f, c in _COEF.items()))
+    f"""SELECT '{f}' AS feature, {rnd(f'AVG(ABS(CAST({c} AS DOUBLE) * (CAST({f} AS DOUBLE) - CAST({_MEANS[f]} AS DOUBLE))))', 6)} AS mean_abs_contribution FROM ml_features_training""" for f, c in _COEF.items()))
 
 
 def _reuse(b: Bound) -> DataFrame:
@@ -294,7 +293,11 @@ def _training(b: Bound) -> DataFrame:
     return ml.impute_medians(b.training)
 
 
-add("smote_balance", lambda b: ml.smote(_training(b)).groupBy("label", (F.col("copy") > 0).alias("synthetic")).agg(F.count(F.lit(1)).alias("rows")))
+add("smote_balance", lambda b: ml.smote(_training(b)).groupBy("label", (F.col("copy") > 0).alias("synthetic")).agg(F.count(F.lit(1)).alias("rows")), f"""
+SELECT label, FALSE AS synthetic, COUNT(*) AS rows FROM ml_features_training GROUP BY label
+UNION ALL SELECT 1, TRUE, CAST(FLOOR({SMOTE_SHARE} * many) AS BIGINT) - few
+FROM (SELECT COUNT(*) FILTER (WHERE label = 0) AS many, COUNT(*) FILTER (WHERE label = 1) AS few FROM ml_features_training)
+WHERE FLOOR({SMOTE_SHARE} * many) > few AND few > 1""")
 add("logistic_cross_validation", lambda b: ml.cross_validate(
     _training(b), lambda t: ml.fit_logistic(t), oversample=lambda t: ml.smote(t)).to_frame(b.spark, "logistic"))
 add("tree_cross_validation", lambda b: ml.cross_validate(

@@ -22,7 +22,7 @@ from riskmart.session import scratch_path, stage
 from riskmart.sources import macro_json as mj
 from riskmart.sources import raw_csv as rc
 from riskmart.sources.credit_binding import RAW_TABLES
-from riskmart.sources.schemas import raw_schema
+from riskmart.sources.schemas import DDL, raw_schema
 from riskmart.sources.tables import LayerStore, VersionedTable, feature_store_summary, write_csv
 from riskmart.streaming import jobs
 
@@ -96,7 +96,11 @@ def _ragged(b: Bound) -> DataFrame:
 add("csv_ragged_rows", _ragged, """SELECT CAST(sk_id_prev AS VARCHAR) AS sk_id_prev, CAST(sk_id_curr AS VARCHAR) AS sk_id_curr,
   CASE WHEN name_client_type <> 'New' THEN channel_type END AS channel_type FROM previous_application""")
 add("csv_schema_inference", lambda b: b.spark.createDataFrame(
-    [(f.name, f.dataType.simpleString()) for f in rc.infer_table_schema(b.spark, _csv_of(b, b.raw["bureau"], "csv"))], "name string, type string"))
+    [(f.name, f.dataType.simpleString()) for f in rc.infer_table_schema(b.spark, _csv_of(b, b.raw["bureau"], "csv"))], "name string, type string"),
+    " UNION ALL ".join(f"""SELECT '{c.upper()}' AS name, CASE
+  WHEN COUNT(*) > 0 AND COUNT(*) FILTER (WHERE regexp_full_match(CAST({c} AS VARCHAR), '-?[0-9]+')) = COUNT(*) THEN 'bigint'
+  WHEN COUNT({c}) = COUNT(TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE)) THEN 'double' ELSE 'string' END AS type FROM bureau"""
+                       for c in (field.split()[0] for field in DDL["bureau"].split(","))))
 add("audit_column", lambda b: rc.with_loaded_at(b.raw["bureau_balance"], datetime(2024, 1, 2, 3, 4, 5)).groupBy("loaded_at").agg(
     F.count(F.lit(1)).alias("rows")).select("rows"), "SELECT COUNT(*) AS rows FROM bureau_balance")
 

@@ -15,6 +15,11 @@ def rnd(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,{n + 6})), {n}) AS DOUBLE)"
 
 
+def rnd_once(x: str, n: int) -> str:
+    """Half away from zero on the shortest decimal text of a double."""
+    return f"CAST(ROUND(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
+
+
 def div(a: str, b: str) -> str:
     return f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))"
 
@@ -200,8 +205,8 @@ SELECT sk_id_curr AS applicant_id, target AS default_flag, name_contract_type AS
   region_rating_client AS region_rating, flag_work_phone AS has_work_phone, flag_email AS has_email, cnt_fam_members AS family_size,
   {whole('days_birth')} AS age_years,
   CASE WHEN days_employed <> 365243 THEN {whole('days_employed')} END AS years_employed,
-  {rnd(div('amt_credit', 'amt_income_total'), 4)} AS credit_to_income_ratio,
-  {rnd(div('amt_annuity', 'amt_income_total'), 4)} AS annuity_to_income_ratio,
+  {rnd_once(div('amt_credit', 'amt_income_total'), 4)} AS credit_to_income_ratio,
+  {rnd_once(div('amt_annuity', 'amt_income_total'), 4)} AS annuity_to_income_ratio,
   {years('days_registration')} AS years_since_registration, {years('days_id_publish')} AS years_since_id_publish
 FROM newest_application
 """
@@ -220,7 +225,7 @@ SELECT sk_id_curr AS applicant_id, sk_id_prev AS prev_loan_id, num_instalment_ve
   CASE WHEN days_entry_payment > days_instalment THEN days_entry_payment - days_instalment
     WHEN days_entry_payment <= days_instalment THEN CAST(0 AS DOUBLE) END AS days_late,
   CASE WHEN days_entry_payment > days_instalment THEN TRUE ELSE FALSE END AS is_late,
-  {rnd(div('amt_payment', 'amt_instalment'), 4)} AS payment_ratio
+  {rnd_once(div('amt_payment', 'amt_instalment'), 4)} AS payment_ratio
 FROM installments_payments WHERE sk_id_curr IS NOT NULL
 """
 TABLES["stg_credit_card_balance"] = """

@@ -112,10 +112,11 @@ def load_delivery(spark: SparkSession, folder: str, target: str, now: datetime |
     return load_many(spark, {t: lambda t=t, f=f: read(t, f) for t, f in FILES.items()}, target)
 
 
-def infer_table_schema(spark: SparkSession, path: str, sample_rows: int = 100) -> T.StructType:
-    """Types from the first rows: whole numbers without gaps, numbers, true/false without gaps, else text.
+def infer_table_schema(spark: SparkSession, path: str, sample_rows: int | None = None) -> T.StructType:
+    """Types from all rows in one aggregation, or from the first ``sample_rows``: whole numbers without gaps, numbers, true/false without gaps, else text.
     Names come out in upper case."""
-    head = null_tokens(spark.read.option("header", True).option("quote", '"').csv(path).limit(sample_rows))
+    lines = spark.read.option("header", True).option("quote", '"').csv(path)
+    head = null_tokens(lines if sample_rows is None else lines.limit(sample_rows))
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(head.columns):
         v = F.col(f"`{c}`")

@@ -33,6 +33,14 @@ def test_four_days(spark):
     assert day4.filter("row_hash IS NULL").count() == 0
 
 
+def test_a_row_without_key_is_not_doubled(spark):
+    rows = ((1, "LOW", 0.1), (None, "HIGH", 0.5))
+    h = hi.scd2_start(load(spark, *rows), "id", COLS, "2024-01-01")
+    assert shape(hi.scd2_apply(h, load(spark, *rows), "id", COLS, "2024-01-02")) == shape(h)
+    changed = hi.scd2_apply(h, load(spark, rows[0], (None, "LOW", 0.5)), "id", COLS, "2024-01-02")
+    assert sorted(r["is_current"] for r in changed.filter("id IS NULL").collect()) == [False, True]
+
+
 def test_versions_are_swapped_not_overwritten(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "hist"))
     assert table.read() is None

@@ -87,3 +87,15 @@ def test_empty_input(spark):
     order = [F.col("k").asc_nulls_last(), F.col("id").asc()]
     assert with_ntile(df, 4, order).count() == 0 and with_ntile(df, 4, order, ["g"]).count() == 0
     assert exact_quantiles(df, "k", [0.5]).count() == 0
+
+
+def test_many_groups_and_groups_without_order(spark):
+    """Far more (partition, group) pairs than rows a driver should hold, and NaN and NULL groups."""
+    many = spark.range(600_000).select("id", (F.col("id") % 550_000).alias("g"))
+    out = with_position(many, [F.col("id").asc()], ["g"])
+    row = out.agg(F.sum("_pos").alias("p"), F.max("_n").alias("n")).first()
+    assert (row["p"], row["n"]) == (550_000 + 2 * 50_000, 2)
+    odd = spark.createDataFrame([(i, (1.0, 2.0, float("nan"), None)[i % 4]) for i in range(40)], "id long, g double")
+    placed = with_position(odd, [F.col("id").asc()], ["g"]).collect()
+    assert sorted(r["_pos"] for r in placed) == sorted(list(range(1, 11)) * 4) and {r["_n"] for r in placed} == {10}
+    assert all(r["_pos"] == r["id"] // 4 + 1 for r in placed)

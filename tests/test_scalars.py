@@ -46,6 +46,17 @@ def test_record_key_tells_null_from_empty(spark):
     assert keys[0] != keys[1] and len(keys[0]) == 32
 
 
+def test_record_keys_do_not_run_together(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("\\N", "x"), (None, "x"), ("-", "x")], "a string, b string")
+    assert len({r[0] for r in df.select(scalars.record_key("a", "b")).collect()}) == 5
+
+
+def test_row_values_are_rounded_once(spark):
+    df = spark.createDataFrame([(1.50004999999995,), (1.50005,), (-1.50005,), (2.675,)], "a double")
+    assert [r[0] for r in df.select(scalars.round_once("a", 4)).collect()] == [1.5, 1.5001, -1.5001, 2.675]
+    assert one(spark, "r double", (1.5,), bands.risk_segment("r")) == "LOW"
+
+
 def test_hash_unit_is_in_range_and_repeatable(spark):
     df = spark.range(2000)
     a = df.select(scalars.hash_unit(1, "id").alias("u"))

@@ -35,9 +35,10 @@ def test_schema_inference(spark, tmp_path):
     assert kinds == {"I": "bigint", "GAP": "double", "F": "double", "B": "boolean", "S": "string", "EMPTY": "double"}
 
 
-def test_inference_reads_only_the_sample(spark, tmp_path):
+def test_inference_reads_all_rows_unless_told_otherwise(spark, tmp_path):
     path = write(tmp_path, "v\n" + "1\n" * 100 + "text\n")
-    assert rc.infer_table_schema(spark, path)["V"].dataType == T.LongType()
+    assert rc.infer_table_schema(spark, path)["V"].dataType == T.StringType()
+    assert rc.infer_table_schema(spark, path, sample_rows=100)["V"].dataType == T.LongType()
 
 
 @pytest.mark.parametrize("kind,want", [("int64", "bigint"), ("float64", "double"), ("object", "string"), ("bool", "boolean"), ("category", "string"),
