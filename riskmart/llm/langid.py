@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import with_key
+from riskmart.session import stage
 
 UND = "und"
 HIDDEN = 8
@@ -26,6 +27,7 @@ LANES = 2048
 SAMPLE_PER_LANG = 400
 SAMPLE_DOCS = 20_000
 SAMPLE_CHARS = 384
+OVERDRAW = 4
 FOLDS, HELD_OUT_FOLD = 4, 2
 MIN_SCORE = 0.4
 
@@ -183,10 +185,14 @@ def sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, most: int = SAMPLE_
                        & ~held_out(F.col("doc_id")))
     h = F.xxhash64(F.lit("langid"), F.col("doc_id"))
     narrow = rows.select(F.col("lang").cast("string").alias("lang"), h.alias("h"), "doc_id", text.alias("text"))
-    langs = max(1, narrow.select("lang").distinct().count())
-    per_lang = max(1, min(per_lang, most // langs))
+    counts = stage(narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    per_lang = max(1, min(per_lang, most // max(1, counts.count())))
+    # hashes are compared within a language only below a bound that about OVERDRAW times as many rows stay under,
+    # so the rows that meet do not grow with the table
+    bound = F.least(F.lit(1.0), F.lit(float(OVERDRAW * per_lang)) / F.col("rows"))
+    narrow = narrow.join(counts, "lang").filter(F.pmod("h", F.lit(1 << 40)) < bound * F.lit(float(1 << 40)))
     start = F.pmod("h", F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    first = Window.partitionBy("lang").orderBy("h", "doc_id", "window")
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 40)), "h", "doc_id", "window")
     taken = (narrow.select("lang", "h", "doc_id", F.substring("text", start, F.lit(SAMPLE_CHARS)).alias("window"))
              .withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_lang)
              .orderBy("lang", "at").limit(most).select("lang", "window").collect())
