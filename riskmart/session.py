@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +58,8 @@ def build_session(app: str = "riskmart", cores: int | str | None = "*", shuffle_
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the driver's disk is not
-    the executors' disk, so a missing setting is an error there.
+    Only a local session may go without: it gets a temporary folder, with a warning, that goes when Python
+    ends. On a cluster the driver's disk is not the executors' disk, so a missing setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     app_id = spark.sparkContext.applicationId
@@ -66,6 +69,8 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if app_id not in _local_scratch:
         _local_scratch[app_id] = tempfile.mkdtemp(prefix="run-")
+        warnings.warn(f"spark.checkpoint.dir is not set; intermediate tables go to {_local_scratch[app_id]}", stacklevel=2)
+        atexit.register(shutil.rmtree, _local_scratch[app_id], ignore_errors=True)
     return f"{_local_scratch[app_id]}/riskmart-{app_id}"
 
 
@@ -84,6 +89,12 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that the application staged. Results built on staged tables must have been written or read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     """A join side that is broadcast only after its rows were counted; a larger one is left to the optimizer.
 

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from riskmart.session import build_session  # noqa: E402
+from riskmart.session import build_session, clear_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
     session = build_session("riskmart-tests", cores=4, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 
