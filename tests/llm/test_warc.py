@@ -49,19 +49,16 @@ def test_round_trip_and_revisits(spark, tmp_path):
     pages = spark.createDataFrame(rows, PAGES).repartition(3)
     files = warc.write_warc(warc.with_revisits(pages), str(tmp_path / "w"))
     assert sum(r["records"] for r in files.collect()) == len(rows)
-    got = sorted((str(r["page_id"]), r["warc_type"], r["refers"], r["payload_bytes"], r["payload"])
-                 for r in warc.read_warc(files, split_bytes=64).select(
+    got = sorted(((str(r["page_id"]), r["warc_type"], r["refers"], r["payload_bytes"], r["payload"])
+                  for r in warc.read_warc(files, split_bytes=64).select(
                      warc.page_id_of("record_id").alias("page_id"), "warc_type", warc.page_id_of("refers_to").alias("refers"),
-                     "payload_bytes", "payload").collect())
+                     "payload_bytes", "payload").collect()), key=str)
     body = lambda t: bytearray(t.encode())
     assert got == sorted([
         ("1", "revisit", 2, 4, None), ("2", "response", None, 4, body("same")), ("2", "response", None, 4, body("same")),
         ("3", "revisit", 4, 0, None), ("4", "response", None, 0, body("")), ("None", "revisit", 2, 4, None),
         ("None", "response", None, 4, body("only")), ("None", "response", None, 4, body("only")),
-        ("5", "response", None, 10000, body("é" * 5000))], key=str) or got == sorted(got)
-    types = {(g[0], g[1], g[2]) for g in got}
-    assert ("1", "revisit", 2) in types and ("3", "revisit", 4) in types and ("4", "response", None) in types
-    assert len(got) == len(rows)
+        ("5", "response", None, 10000, body("é" * 5000))], key=str)
 
 
 def test_least_size_and_empty_table(spark, tmp_path):
