@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.functions.bands import age_band, income_bracket, rate_era
@@ -149,14 +149,16 @@ def label_correlations(df: DataFrame, features: Sequence[str], label: str = "lab
 
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
-    """Rows and share per label, and the negatives-to-positives ratio."""
-    def whole(c: Column) -> Column:
-        return df.agg(c).scalar()
-
-    rows, negatives, positives = F.count(F.lit(1)), count_where(F.col(label) == 0), count_where(F.col(label) == 1)
-    return df.groupBy(label).agg(rows.alias("rows")).select(
-        label, "rows", round_half_up(ratio("rows", whole(rows)), 6).alias("share"),
-        round_half_up(ratio(whole(negatives), whole(positives)), 6).alias("neg_pos_ratio"))
+    """Rows and share per label, and the negatives-to-positives ratio; totals come from the labels' own rows."""
+    cells = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
+    everything = Window.partitionBy(F.lit(0))
+
+    def rows_of(value: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(label) == value, F.col("rows"))).over(everything), F.lit(0))
+
+    return cells.select(label, "rows", F.sum("rows").over(everything).alias("_all"), rows_of(0).alias("_neg"), rows_of(1).alias("_pos")
+                        ).select(label, "rows", round_half_up(ratio("rows", "_all"), 6).alias("share"),
+                                 round_half_up(ratio("_neg", "_pos"), 6).alias("neg_pos_ratio"))
 
 
 def clipped_histogram(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 20,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart import constants as K
@@ -153,7 +153,8 @@ def portfolio_split(fact: DataFrame, *by: str) -> DataFrame:
     """Rows, loan value, share of the whole and default rate per group."""
     groups = fact.groupBy(*by).agg(
         F.count(F.lit(1)).alias("applications"), F.sum("loan_amount").alias("_value"), rate_pct(FLAG).alias("default_rate_pct"))
-    rows, value = fact.agg(F.count(F.lit(1))).scalar(), fact.agg(F.sum("loan_amount")).scalar()
+    everything = Window.partitionBy(F.lit(0))  # of the groups' rows
+    rows, value = F.sum("applications").over(everything), F.sum("_value").over(everything)
     return groups.select(
         *by, "applications", round_half_up("_value", 2).alias("loan_value"),
         round_half_up(ratio("applications", rows) * 100, 4).alias("application_share_pct"),

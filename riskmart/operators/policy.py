@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart import constants as K
@@ -126,7 +126,9 @@ def age_gap(fact: DataFrame) -> DataFrame:
     bands = fact.groupBy(age_band("age_years").alias("age_band")).agg(
         F.count(F.lit(1)).alias("applications"), F.count("default_flag").alias("_known"),
         F.sum(F.col("default_flag").cast("long")).alias("_bad"))
-    rate, overall = ratio("_bad", "_known") * 100, fact.agg(F.avg("default_flag")).scalar() * 100
+    everything = Window.partitionBy(F.lit(0))  # of the bands' rows
+    bands = bands.withColumns({"_all_bad": F.sum("_bad").over(everything), "_all_known": F.sum("_known").over(everything)})
+    rate, overall = ratio("_bad", "_known") * 100, ratio("_all_bad", "_all_known") * 100
     return bands.select(
         "age_band", "applications", round_half_up(rate, 2).alias("default_rate_pct"),
         round_half_up(rate - overall, 2).alias("gap_pp"))
