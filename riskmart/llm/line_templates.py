@@ -5,8 +5,9 @@ digit counting as the wildcard. In each leaf the words that most lines share mak
 become wildcards; lines close enough to it belong to it, the rest are templates of their own. Templates that
 recur across documents are dropped from all of them.
 
-Copies are not boilerplate: a document most of whose text would go is left whole and is not counted, as
-finding copies of documents is another operator's work.
+Copies are not boilerplate: however many copies and near copies of one text there are, they count as one
+document, as finding copies of documents is another operator's work. Documents with text of their own all
+count and lose what recurs, whatever share of them it is.
 """
 
 from __future__ import annotations
@@ -14,20 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import id_out, keyed, with_key, words
+from riskmart.llm.common import WORD, id_out, keyed, with_key, words
 from riskmart.session import stage
 
 DEPTH = 3
-MIN_WORDS = 3
+MIN_WORDS = 1
 MIN_DOCS = 10
 MIN_SIMILAR_PERCENT = 70
-MAX_SHARE_PERCENT = 50
 WILD = "<*>"
 
 
 def masked(line: Column) -> Column:
-    """Words of the line, those with a digit as the wildcard."""
-    return F.transform(words(line), lambda w: F.when(w.rlike("[0-9]"), F.lit(WILD)).otherwise(w))
+    """Words of the line, those with a digit as the wildcard; lines of fewer than ``DEPTH`` words stay as they are."""
+    found = words(line)
+    wild = F.transform(found, lambda w: F.when(w.rlike("[0-9]"), F.lit(WILD)).otherwise(w))
+    return F.when(F.size(found) >= DEPTH, wild).otherwise(found)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -61,23 +63,47 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     leaves = _leaves(_lines(docs))
     often = stage(leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
                   .select("leaf"), "line-often")
-    rows = stage(leaves.join(often, "leaf").select("id", "th", "j", "leaf", "own", "t",
-                                                   F.octet_length("line").alias("size")), "line-rows")
+    rows = stage(leaves.join(often, "leaf").select("id", "th", "j", "leaf", "own", "t"), "line-rows")
     distinct = stage(rows.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")), "line-distinct")
     template_of = stage(_templates(distinct), "line-templates")
-    placed = stage(rows.drop("t").join(template_of, ["leaf", "own"]).select("id", "th", "j", "template", "size"), "line-placed")
+    placed = stage(rows.drop("t").join(template_of, ["leaf", "own"]).select("id", "th", "j", "template"), "line-placed")
 
-    def often_in(lines: DataFrame) -> DataFrame:
-        return (lines.select("template", "id", "th").distinct().groupBy("template")
-                .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("template"))
+    first = stage(placed.select("template", "id", "th").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
+                  .filter(F.col("docs") >= min_docs), "line-recurring")
+    lines = stage(placed.join(first, "template"), "line-candidates")
+    text = stage(_texts(docs, lines), "line-texts")
+    dropped = stage(lines.join(text, ["id", "th"]).select("template", "text").distinct().groupBy("template")
+                    .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("template"), "line-dropped")
+    return lines.join(dropped, "template").select("id", "th", "j")
 
-    first = stage(often_in(placed), "line-recurring")
-    sizes = keyed(docs).select("id", "th", F.coalesce(F.octet_length("text"), F.lit(0)).alias("all")).distinct()
-    share = (placed.join(first, "template").groupBy("id", "th").agg(F.sum("size").alias("some"))
-             .join(sizes, ["id", "th"]))
-    own = stage(share.filter(100 * F.col("some") <= MAX_SHARE_PERCENT * F.col("all")).select("id", "th"), "line-edited")
-    lines = stage(placed.join(first, "template").join(own, ["id", "th"], "left_semi"), "line-candidates")
-    return lines.join(stage(often_in(lines), "line-dropped"), "template").select("id", "th", "j")
+
+def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``id, th, text``: which text a document holds; copies and near copies of one text hold the same.
+
+    ``lines`` are the candidates (``id, th, j, template, docs``). The rarest template of a document stands for
+    what it may be a copy of: the templates that more than half of the documents with that template hold. A
+    document with no more lines of its own than it lacks of those is a copy, any other a text of its own.
+    """
+    held = lines.select("id", "th", "template", "docs").distinct()
+    rarest = stage(held.groupBy("id", "th").agg(F.min(F.struct("docs", "template")).alias("m"), F.count(F.lit(1)).alias("held"))
+                   .select("id", "th", F.col("m.template").alias("rarest"), "m.docs", "held"), "line-rarest")
+    marks = rarest.select("rarest", "docs").distinct()
+    with_mark = held.select("id", "th", F.col("template").alias("rarest")).join(marks, "rarest")
+    common = (with_mark.join(held.select("id", "th", "template"), ["id", "th"]).groupBy("rarest", "template")
+              .agg(F.count(F.lit(1)).alias("n"), F.first("docs").alias("docs")).filter(2 * F.col("n") > F.col("docs")))
+    common = stage(common.select("rarest", "template"), "line-common")
+    whole = common.groupBy("rarest").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("template").cast("decimal(38,0)")).alias("sum"))
+    has = (rarest.select("id", "th", "rarest").join(held.select("id", "th", "template"), ["id", "th"])
+           .join(common, ["rarest", "template"]).groupBy("id", "th").agg(F.count(F.lit(1)).alias("has")))
+    filled = keyed(docs).select("id", "th", F.size(F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)))
+                                .alias("filled")).distinct()
+    taken = lines.groupBy("id", "th").agg(F.count_distinct("j").alias("taken"))
+    joined = (rarest.join(has, ["id", "th"]).join(filled, ["id", "th"]).join(taken, ["id", "th"])
+              .join(whole, "rarest"))
+    copy = F.col("filled") - F.col("taken") <= F.col("size") - F.col("has")
+    return joined.select("id", "th", F.when(copy, F.struct(F.col("sum").cast("string").alias("a"), F.col("size").cast("string").alias("b")))
+                         .otherwise(F.struct(F.col("id").cast("string").alias("a"), F.concat(F.lit("d"), F.col("th").cast("string")).alias("b")))
+                         .alias("text"))
 
 
 def _edits(docs: DataFrame, min_docs: int) -> DataFrame:
@@ -93,7 +119,7 @@ def _kept() -> Column:
 def report(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """A row for each document: ``doc_id, n_lines, n_dropped, cleaned`` (null where nothing was dropped from null).
 
-    Null text has no line, empty text one. Lines below ``MIN_WORDS`` words always stay. Rows equal in doc_id
+    Null text has no line, empty text one. Lines without a word always stay. Rows equal in doc_id
     and text are one document; columns other than these play no part; an empty table gives an empty result.
     """
     rows = keyed(docs).join(_edits(docs, min_docs), ["id", "th"], "left").withColumn("lines", F.split("text", "\n", -1))

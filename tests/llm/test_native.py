@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskmart.llm import decontaminate, line_templates, quality, url_filter
 
-from .conftest import prose
+from .conftest import prose, sentence
 
 URLS = ["https://A.Example.org/es/1", "http://example.org/en/12?x#y", "http://example.org/en/2", "http://x.com/fr/", "http://x.com/de",
         "http://x.com/de/1", "http://xcom/fr/", "http://com/fr/a", "http://org", "http://org/", "HTTP://myexample.org/es/", "no url", "",
@@ -117,3 +117,16 @@ def test_templates_recur_and_copies_stay(spark, edge, edge_clashing, empty, orde
     assert line_templates.report(empty).count() == 0
     dropped = line_templates.drop_lines(edge_clashing)
     assert dropped.columns == edge_clashing.columns and ordered(dropped) == ordered(edge_clashing)
+
+
+def test_boilerplate_goes_whatever_its_share(spark):
+    rng = random.Random(16)
+    footer = "\n".join(["Contact us", *(prose(rng, 1) for _ in range(11))])
+    copied = [prose(rng, 1) for _ in range(14)]
+    rows = [(i, sentence(rng) + "\n" + footer) for i in range(40)]
+    rows += [(100 + i, "\n".join(prose(rng, 2) for _ in range(40)) + "\n" + footer) for i in range(5)]
+    near = [(200 + i, "\n".join([*copied[:i % 14], sentence(rng), *copied[i % 14 + 1:]])) for i in range(60)]
+    df = spark.createDataFrame(rows + near, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in line_templates.report(df).collect()}
+    assert all(got[i]["n_dropped"] == 12 and got[i]["cleaned"] == text.removesuffix("\n" + footer) for i, text in rows)
+    assert all(got[i]["cleaned"] == text for i, text in near)
