@@ -2,8 +2,9 @@
 
 A line goes down a tree of fixed depth: by its number of words, then by its leading words, words with a
 digit counting as the wildcard. In each leaf the words that most lines share make the template, other places
-become wildcards; lines close enough to it belong to it, the rest are templates of their own. Templates that
-recur across documents are dropped from all of them.
+become wildcards; lines close enough to it belong to it. The rest are grouped again, by recurring words where no
+majority is, until no further template covers ``MIN_DOCS`` lines; what is left are templates of their own.
+Templates that recur across documents are dropped from all of them.
 
 Copies are not boilerplate: however many copies and near copies of one text there are, they count as one
 document, as finding copies of documents is another operator's work. Documents with text of their own all
@@ -12,6 +13,8 @@ count and lose what recurs, whatever share of them it is.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +47,47 @@ def _leaves(lines: DataFrame) -> DataFrame:
     return rows.select("*", F.xxhash64(F.size("t"), F.slice("t", 1, DEPTH)).alias("leaf"), F.xxhash64("t").alias("own"))
 
 
-def _templates(lines: DataFrame) -> DataFrame:
-    """``leaf, own, template``: the template of each distinct masked line of ``lines`` (``leaf, own, t, n``)."""
-    words_at = lines.select("leaf", "n", F.posexplode("t").alias("p", "word"))
-    counts = words_at.groupBy("leaf", "p", "word").agg(F.sum("n").alias("n"))
-    shared = (counts.groupBy("leaf", "p").agg(F.max(F.struct("n", "word")).alias("top"), F.sum("n").alias("total"))
-              .select("leaf", "p", F.when(2 * F.col("top.n") > F.col("total"), F.col("top.word")).alias("word")))
-    template = stage(shared.groupBy("leaf").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "word"))),
-                                                            lambda x: x["word"]).alias("template")), "line-leaves")
-    same = F.aggregate(F.zip_with("t", "template", lambda a, b: a.eqNullSafe(b).cast("int")), F.lit(0), lambda s, x: s + x)
-    return (lines.join(template, "leaf")
-            .select("leaf", "own", F.when(100 * same >= MIN_SIMILAR_PERCENT * F.size("t"), F.col("leaf"))
-                    .otherwise(F.col("own")).alias("template")))
+def _templates(lines: DataFrame, min_docs: int) -> DataFrame:
+    """``leaf, own, template``: the template of each distinct masked line of ``lines`` (``leaf, own, t, n``).
+
+    All groups of a round are worked at once. Where the majority template of a group takes lines, the rest of
+    the group comes again; where it takes none, the group is split by a place with recurring words. It ends
+    when no group has ``min_docs`` lines left or a place to split at; lines left over are their own templates.
+    """
+    rest, found = stage(lines.withColumn("g", F.col("leaf")), "line-groups"), []
+    while True:
+        words_at = rest.select("g", "n", F.posexplode("t").alias("p", "word"))
+        counts = words_at.groupBy("g", "p", "word").agg(F.sum("n").alias("n"))
+        # the place whose recurring words cover most lines, then that with the fewest words
+        recurs = F.col("n") >= min_docs
+        places = (counts.groupBy("g", "p").agg(F.max(F.struct("n", "word")).alias("top"), F.sum("n").alias("total"),
+                                               F.sum(F.when(recurs, F.col("n"))).alias("covered"), F.count(F.lit(1)).alias("k"))
+                  .select("g", "p", F.when(2 * F.col("top.n") > F.col("total"), F.col("top.word")).alias("word"),
+                          F.when(F.col("covered").isNotNull() & (F.col("k") > 1),
+                                 F.struct("covered", -F.col("k"), -F.col("p"))).alias("cut")))
+        shapes = places.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "word"))),
+                                                     lambda x: x["word"]).alias("template"), (-F.max("cut")["col3"]).alias("cut"))
+        same = F.aggregate(F.zip_with("t", "template", lambda a, b: a.eqNullSafe(b).cast("int")), F.lit(0), lambda s, x: s + x)
+        judged = rest.join(shapes, "g").select("leaf", "own", "t", "n", "g", "cut",
+                                               (100 * same >= MIN_SIMILAR_PERCENT * F.size("t")).alias("fits"))
+        judged = stage(judged, "line-judged")
+        found.append(judged.filter("fits").select("leaf", "own", F.col("g").alias("template")))
+        groups = judged.groupBy("g").agg(F.max("fits").alias("took"), F.sum(F.when(~F.col("fits"), F.col("n"))).alias("left"))
+        open_ = judged.filter("NOT fits").join(groups.filter(F.col("left") >= min_docs), "g")
+        again = F.xxhash64("g", F.lit("rest"))
+        by_word = (open_.filter(~F.col("took") & F.col("cut").isNotNull())
+                   .withColumn("word", F.get("t", F.col("cut"))))
+        often = by_word.groupBy("g", "word").agg(F.sum("n").alias("m")).filter(F.col("m") >= min_docs)
+        split = by_word.join(often, ["g", "word"], "left").select(
+            "leaf", "own", "t", "n", F.when(F.col("m").isNotNull(), F.xxhash64("g", "cut", "word")).otherwise(again).alias("g"))
+        rest = open_.filter("took").select("leaf", "own", "t", "n", again.alias("g")).unionByName(split)
+        lasting = rest.groupBy("g").agg(F.sum("n").alias("m")).filter(F.col("m") >= min_docs).select("g")
+        rest = stage(rest.join(lasting, "g"), "line-groups")
+        if rest.isEmpty():
+            break
+    taken = reduce(DataFrame.unionByName, found)
+    return (lines.select("leaf", "own").join(taken, ["leaf", "own"], "left")
+            .select("leaf", "own", F.coalesce("template", "own").alias("template")))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -65,7 +97,7 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
                   .select("leaf"), "line-often")
     rows = stage(leaves.join(often, "leaf").select("id", "th", "j", "leaf", "own", "t"), "line-rows")
     distinct = stage(rows.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")), "line-distinct")
-    template_of = stage(_templates(distinct), "line-templates")
+    template_of = stage(_templates(distinct, min_docs), "line-templates")
     placed = stage(rows.drop("t").join(template_of, ["leaf", "own"]).select("id", "th", "j", "template"), "line-placed")
 
     first = stage(placed.select("template", "id", "th").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"))

@@ -130,3 +130,18 @@ def test_boilerplate_goes_whatever_its_share(spark):
     got = {r["doc_id"]: r for r in line_templates.report(df).collect()}
     assert all(got[i]["n_dropped"] == 12 and got[i]["cleaned"] == text.removesuffix("\n" + footer) for i, text in rows)
     assert all(got[i]["cleaned"] == text for i, text in near)
+
+
+def test_a_leaf_holds_several_templates(spark):
+    rng = random.Random(26)
+    name = lambda: sentence(rng, 1)[:-1]
+    kinds = [lambda: f"User has been seen by {name()} at the northern gate today",
+             lambda: f"User has been given old {name()} keys for one more year",
+             lambda: f"User has been told that {name()} will not come back again"]
+    rows = [(i, "\n".join([prose(rng, 3), kinds[i % 3](), prose(rng, 3)])) for i in range(90)]
+    rows += [(90 + i, "\n".join([prose(rng, 3), "User has been logged out because of a long idle time", prose(rng, 3)])) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in line_templates.report(df).collect()}
+    assert all(r["n_dropped"] == 1 and r["cleaned"].split("\n") == rows[i][1].split("\n")[::2] for i, r in got.items())
+    mixed = {r["doc_id"]: r for r in line_templates.report(df.filter("doc_id < 90")).collect()}
+    assert all(r["n_dropped"] == 1 for r in mixed.values())
