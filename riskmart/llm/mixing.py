@@ -1,13 +1,15 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by source and exact length; each source's budget is laid out over the lengths in
-proportion, and a bounded-knapsack program over what is left of the counts fits the remaining words. The
+proportion from the longest down, and a bounded-knapsack program fits the remaining words. The
 documents of a length are then taken in the order of a seeded hash. Only counts by (source, length) meet in
 one task; rows do not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,24 +55,58 @@ def targets(sizes: DataFrame) -> DataFrame:
 def fit_counts(lengths: list[int], counts: list[int], budget: int, dp_words: int = DP_WORDS) -> list[int]:
     """How many documents of each length to take, at most ``counts``, for ``budget`` words at most.
 
-    First the budget's share of every count, rounded down; then the longest that fit until the rest is within
-    ``dp_words``; then the bounded knapsack: the largest sum up to the rest that the counts left can make.
+    From the longest to the shortest, each length gets its share of what is left of the budget, or as many as
+    it takes for the shorter ones to be able to fill the rest. What then is still missing is fitted by the
+    bounded knapsack: the largest sum that the counts left can make, then with up to ``dp_words`` words given
+    back, then with one more document of a length above ``dp_words``. A budget within ``dp_words`` is always
+    met as closely as the lengths can.
     """
     total = sum(n * c for n, c in zip(lengths, counts))
     if total == 0 or budget <= 0:
         return [0] * len(lengths)
-    taken = [min(c, c * budget // total) for c in counts]
-    left = [c - t for c, t in zip(counts, taken)]
-    rest = budget - sum(n * t for n, t in zip(lengths, taken))
+    if budget >= total:
+        return list(counts)
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
+    best, most = [0] * len(lengths), -1
+    for more in [None, *(i for i in order if dp_words < lengths[i] <= budget)]:
+        shares = _shares(lengths, counts, budget, total, order, more)
+        for back in ((), order[::-1], order, order[1::2] + order[::2]):
+            taken = _filled(lengths, counts, budget, list(shares), order, dp_words, back)
+            words = sum(n * t for n, t in zip(lengths, taken))
+            if words > most:
+                best, most = taken, words
+            if most == budget:
+                return best
+    return best
+
+
+def _shares(lengths: list[int], counts: list[int], budget: int, total: int, order: list[int], more: int | None) -> list[int]:
+    """Counts near the budget's share of each; ``more`` is the place of a length that gets one document above it."""
+    taken, rest, others = [0] * len(lengths), budget, total
     for i in order:
-        if rest <= dp_words:
-            break
-        if lengths[i]:
-            more = min(left[i], max(0, rest - dp_words // 2) // lengths[i])
-            taken[i], left[i], rest = taken[i] + more, left[i] - more, rest - more * lengths[i]
-    for i, add in _knapsack([lengths[i] for i in order], [left[i] for i in order], min(rest, dp_words)).items():
-        taken[order[i]] += add
+        n, c = lengths[i], counts[i]
+        if n == 0:
+            taken[i] = c * budget // total
+            continue
+        share = c * rest // others if others else 0
+        others -= n * c
+        needed = max(0, -((others - rest) // n))
+        taken[i] = min(max(share, needed) + (i == more), c, rest // n)
+        rest -= n * taken[i]
+    return taken
+
+
+def _filled(lengths: list[int], counts: list[int], budget: int, taken: list[int], order: list[int], dp_words: int,
+            back: Sequence[int]) -> list[int]:
+    """``taken`` with the knapsack over the rest of the budget and ``dp_words`` words of ``back``, given back in this order."""
+    rest = budget - sum(n * t for n, t in zip(lengths, taken))
+    for i in back:
+        if lengths[i] and rest < dp_words:
+            less = min(taken[i], (dp_words - rest) // lengths[i])
+            taken[i], rest = taken[i] - less, rest + less * lengths[i]
+    left = [counts[i] - taken[i] for i in order]
+    for place, add in _knapsack([lengths[i] for i in order], left, min(rest, dp_words)).items():
+        taken[order[place]] += add
     return taken
 
 

@@ -37,6 +37,21 @@ def test_large_budgets_are_met_exactly():
         assert sum(a * b for a, b in zip(lengths, taken)) == budget
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_a_length_above_the_rest(seed):
+    rng = random.Random(100 + seed)
+    dp_words = 400
+    lengths = sorted(rng.sample(range(1, 30), 3)) + [rng.randrange(401, 4000)]
+    counts = [rng.randrange(1, 6) for _ in lengths[:-1]] + [1]
+    for budget in range(1, sum(a * b for a, b in zip(lengths, counts)) + 1, 17):
+        taken = mixing.fit_counts(lengths, counts, budget, dp_words)
+        assert all(0 <= t <= c for t, c in zip(taken, counts))
+        assert sum(a * b for a, b in zip(lengths, taken)) == best(lengths, counts, budget)
+    for small, long, budget in ((100, 100_000, 105_000), (500, 60_000, 66_000)):
+        taken = mixing.fit_counts([100, long], [small, 1], budget)
+        assert taken == [(budget - long) // 100, 1]
+
+
 def shared(sizes):
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
