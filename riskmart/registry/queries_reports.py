@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from riskmart.operators import policy as po
 from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
 from riskmart.registry.sql import SCORE_TERMS, age, div, income, ladder, rnd
+from riskmart.session import scratch_path
 
 FACT = "mart_credit_application_fact"
 _BAD = "COUNT(*) FILTER (WHERE default_flag = 1)"
@@ -301,22 +303,35 @@ WHERE FLOOR({SMOTE_SHARE} * many) > few AND few > 1""")
 add("logistic_cross_validation", lambda b: ml.cross_validate(
     _training(b), lambda t: ml.fit_logistic(t), oversample=lambda t: ml.smote(t)).to_frame(b.spark, "logistic"))
 add("tree_cross_validation", lambda b: ml.cross_validate(
-    _training(b), lambda t: ml.fit_trees(t, n_trees=10, depth=4), folds=3).to_frame(b.spark, "boosted_trees"))
+    _training(b), lambda t: ml.fit_trees(t)).to_frame(b.spark, "boosted_trees"))
+
+
+_models: dict[tuple[str, str], str] = {}
+
+
+def _fitted(b: Bound) -> PipelineModel:
+    """The trees over all training rows: fitted and saved once per application and data folder, then read."""
+    key = (b.spark.sparkContext.applicationId, b.sf_dir)
+    if key not in _models:
+        path = scratch_path(b.spark, "trees")
+        ml.fit_trees(_training(b)).write().save(path)
+        _models[key] = path
+    return PipelineModel.load(_models[key])
 
 
 def _held_out(b: Bound) -> DataFrame:
     cut = mt.stratified_split(_training(b))
-    model = ml.fit_trees(cut.filter("NOT is_test"), n_trees=10, depth=4)
+    model = ml.fit_trees(cut.filter("NOT is_test"))
     return mt.classifier_metrics(ml.with_probability(model, cut.filter("is_test"), ["label"]))
 
 
 add("tree_held_out_metrics", _held_out)
-add("tree_feature_importances", lambda b: ml.feature_importances(ml.fit_trees(_training(b), n_trees=10, depth=4), b.spark))
+add("tree_feature_importances", lambda b: ml.feature_importances(_fitted(b), b.spark))
 
 
 def _explained(b: Bound) -> DataFrame:
     data = _training(b)
-    model = ml.fit_trees(data, n_trees=10, depth=4)
+    model = _fitted(b)
     keep = ["applicant_id", *FEATURES]
     scored = ml.with_tier(ml.with_probability(model, data, keep))
     explained = ml.with_tree_contributions(model, scored)

@@ -212,3 +212,28 @@ def test_global_importance(spark, signal):
 def test_synthetic_population_rate(spark):
     df = ml.synthetic_population(spark, 2000)
     assert len(df.columns) == 20 and 0.05 < df.agg(F.avg("label")).first()[0] < 0.11
+
+
+def test_registered_tree_queries_use_the_full_settings(spark, monkeypatch):
+    import inspect
+
+    import __spark_entry__ as entry
+
+    real, fits, folds = ml.fit_trees, [], []
+
+    def small(train, **options):
+        fits.append(options)
+        return real(train, n_trees=2, depth=2)
+
+    def cross_validate(df, fit, **options):
+        folds.append(options.get("folds", inspect.signature(real_cv).parameters["folds"].default))
+        fit(df)
+        return ml.CrossValidation([0.5] * folds[-1])
+
+    real_cv = ml.cross_validate
+    monkeypatch.setattr(ml, "fit_trees", small)
+    monkeypatch.setattr(ml, "cross_validate", cross_validate)
+    monkeypatch.setattr("riskmart.registry.queries_reports._models", {})
+    for name in ("tree_cross_validation", "tree_held_out_metrics", "tree_feature_importances", "tree_scores_with_factors"):
+        assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert fits == [{}] * 3 and folds == [5]
