@@ -22,7 +22,6 @@ from riskmart.llm.common import WORD, id_out, keyed, with_key, words
 from riskmart.session import stage
 
 DEPTH = 3
-MIN_WORDS = 1
 MIN_DOCS = 10
 MIN_SIMILAR_PERCENT = 70
 WILD = "<*>"
@@ -30,9 +29,11 @@ WILD = "<*>"
 
 def masked(line: Column) -> Column:
     """Words of the line, those with a digit as the wildcard; lines of fewer than ``DEPTH`` words stay as they are."""
-    found = words(line)
-    wild = F.transform(found, lambda w: F.when(w.rlike("[0-9]"), F.lit(WILD)).otherwise(w))
-    return F.when(F.size(found) >= DEPTH, wild).otherwise(found)
+    def wild(w: Column) -> Column:
+        return F.when(w.rlike("[0-9]"), F.lit(WILD)).otherwise(w)
+
+    # as the item of an array, the words are found once and used twice
+    return F.get(F.transform(F.array(words(line)), lambda ws: F.when(F.size(ws) >= DEPTH, F.transform(ws, wild)).otherwise(ws)), 0)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -42,8 +43,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _leaves(lines: DataFrame) -> DataFrame:
-    """Adds ``t`` (masked words), ``leaf`` and ``own``, the hash of the masked line, for lines of ``MIN_WORDS``."""
-    rows = lines.withColumn("t", masked(F.col("line"))).filter(F.size("t") >= MIN_WORDS)
+    """Adds ``t`` (masked words), ``leaf`` and ``own``, the hash of the masked line, for lines with a word."""
+    rows = lines.filter(F.col("line").rlike(WORD)).withColumn("t", masked(F.col("line")))
     return rows.select("*", F.xxhash64(F.size("t"), F.slice("t", 1, DEPTH)).alias("leaf"), F.xxhash64("t").alias("own"))
 
 
