@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, suffix_dedup, url_filter, warc
+from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, suffix_dedup, token_files, url_filter, warc
 from riskmart.llm.common import id_out, table
 from riskmart.session import scratch_path
 
@@ -179,6 +179,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
 
+def _tokenizer(name: str) -> str:
+    """Path of a vocabulary file of the public tokenizers, the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = token_files.write_tokens(docs, scratch_path(spark, "tokens"), _tokenizer("byte_bpe_50k.json"))
+    return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -190,6 +203,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_token_files": op12_token_files,
 }
 ORACLE: dict[str, str] = {"op6_url_filters": OP6_SQL, "op7_quality_rules": OP7_SQL,
                           "op8_decontamination": OP8_SQL, "op9_line_dedup": OP9_SQL}
