@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.llm import decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, suffix_dedup, token_files, url_filter, warc
+from riskmart.llm import (
+    decontaminate, langid, line_templates, mixing, ngram_join, quality, sentence_spans, spelling, suffix_dedup, token_align, token_files, url_filter,
+    warc,
+)
 from riskmart.llm.common import id_out, table
 from riskmart.session import scratch_path
 
@@ -179,6 +182,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _tokenizer(name: str) -> str:
     """Path of a vocabulary file of the public tokenizers, the same on every executor."""
     import public_tokenizers
@@ -192,6 +199,12 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_align.align_documents(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+    return aligned.drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -203,7 +216,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_token_files": op12_token_files,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLE: dict[str, str] = {"op6_url_filters": OP6_SQL, "op7_quality_rules": OP7_SQL,
                           "op8_decontamination": OP8_SQL, "op9_line_dedup": OP9_SQL}
