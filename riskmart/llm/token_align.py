@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from riskmart.llm import hashing, pieces
 from riskmart.session import stage
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 B_BITS = 32
 
 
