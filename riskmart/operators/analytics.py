@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.bands import age_band, income_bracket, rate_era
 from riskmart.functions.scalars import (count_where, greatest_strict, ratio, round_half_up, whole_years)
-from riskmart.operators.ranking import column_quantiles, long_values, with_ntile
+from riskmart.operators.quantiles import column_quantiles
+from riskmart.operators.ranking import long_values, with_ntile
 from riskmart.session import broadcast_if_small
 
 
@@ -163,20 +164,24 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
 
 def clipped_histogram(df: DataFrame, features: Sequence[str], label: str = "label", bins: int = 20,
                       low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Histogram per feature and label between two quantiles; values outside sit on the edge.
+    """Histogram per feature and label between two quantiles of that label's values.
 
-    The quantile table has one row per feature, so it is broadcast.
+    ``rows`` are those of the bin, ``rows_outside`` those of the label below the lower or above the upper quantile,
+    which belong to no bin. The join is with one row per feature and label.
     """
-    edges = column_quantiles(df, features, [low, high]).groupBy("feature").agg(
+    edges = column_quantiles(df, features, [low, high], [label]).groupBy("feature", label).agg(
         F.max(F.when(F.col("prob") == low, F.col("value"))).alias("lo"),
         F.max(F.when(F.col("prob") == high, F.col("value"))).alias("hi"))
     values = long_values(df, features, [label]).filter(F.col("value").isNotNull())
-    clipped = F.least(F.greatest(F.col("value"), F.col("lo")), F.col("hi"))
+    edges = edges.select(F.col("feature").alias("_f"), F.col(label).alias("_l"), "lo", "hi")
+    placed = values.join(edges, F.col("feature").eqNullSafe(F.col("_f")) & F.col(label).eqNullSafe(F.col("_l")))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    place = F.coalesce(F.floor((clipped - F.col("lo")) / F.nullif(width, F.lit(0.0))), F.lit(0))
-    return values.join(F.broadcast(edges), "feature").withColumn(
-        "bin", F.least(place, F.lit(bins - 1)).cast("int")
-    ).groupBy("feature", label, "bin").agg(F.count(F.lit(1)).alias("rows"))
+    place = F.coalesce(F.floor((F.col("value") - F.col("lo")) / F.nullif(width, F.lit(0.0))), F.lit(0))
+    inside = F.col("value").between(F.col("lo"), F.col("hi"))
+    counted = placed.groupBy("feature", label, F.when(inside, F.least(place, F.lit(bins - 1))).cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    outside = F.coalesce(F.max(F.when(F.col("bin").isNull(), F.col("rows"))).over(Window.partitionBy("feature", label)), F.lit(0))
+    return counted.withColumn("rows_outside", outside).filter(F.col("bin").isNotNull())
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from riskmart import constants as K
 from riskmart.functions.bands import probability_tier, tier_decision
 from riskmart.functions.scalars import count_where, hash_unit, record_key, round_half_up
+from riskmart.operators.logit import Logit
 from riskmart.operators.metrics import classifier_metrics, stratified_folds
-from riskmart.operators.ranking import column_quantiles, with_position
+from riskmart.operators.quantiles import column_quantiles
+from riskmart.operators.ranking import with_position
 from riskmart.session import scratch_path, scratch_root, stage
 
 FEATURES = list(K.FEATURES)
@@ -144,14 +147,27 @@ def fit_trees(train: DataFrame, features: Sequence[str] = FEATURES, label: str =
     ]).fit(weighted)
 
 
-def with_probability(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def with_probability(model: PipelineModel | Logit, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    if isinstance(model, Logit):
+        return df.select(*keep, model.probability().alias("score"))
     scored = model.transform(df.withColumn("_weight", F.lit(1.0)))
     return scored.select(*keep, vector_to_array("probability")[1].alias("score"))
 
 
+@dataclass(frozen=True)
+class Fold:
+    """Rows a fold's model was fitted on, rows and defaults it was tested on, and the exact AUC there."""
+
+    n_train: int
+    n_test: int
+    n_default: int
+    auc: float | None
+
+
 @dataclass(frozen=True)
 class CrossValidation:
     auc: list[float]
+    folds: list[Fold] = field(default_factory=list)
 
     @property
     def mean(self) -> float:
@@ -169,11 +185,20 @@ class CrossValidation:
         return spark.createDataFrame([(model, len(self.auc), round(self.mean, 6), round(self.std, 6), round(self.gini, 6))],
                                      "model string, folds int, cv_auc_mean double, cv_auc_std double, gini double")
 
+    def fold_frame(self, spark, model: str) -> DataFrame:
+        """A row per fold: ``model, fold, n_train, n_test, n_default, auc``."""
+        return spark.createDataFrame([(model, i, f.n_train, f.n_test, f.n_default, f.auc) for i, f in enumerate(self.folds)],
+                                     "model string, fold int, n_train long, n_test long, n_default long, auc double")
+
 
 def cross_validate(df: DataFrame, fit, folds: int = 5, label: str = "label", key: str = "applicant_id", seed: int = 42,
-                   oversample=None, reference_order: bool = False) -> CrossValidation:
+                   oversample=None, reference_order: bool = False, at_once: int | None = None) -> CrossValidation:
     """Mean and spread of the exact AUC over stratified folds.
 
+    The folds are cut and written once, and ``at_once`` of them (all by default) are fitted at the same time, each by a
+    thread of its own: the hundreds of short jobs of one fold fill the gaps between those of the others. A fold whose
+    test rows have one label has no AUC and is left out of the mean.
+
     ``oversample`` is applied to the training folds only. ``reference_order`` applies it to the whole
     table before the folds are cut; points made from a row can then reach the fold the row is tested in,
     so the AUC comes out too high.
@@ -185,16 +210,22 @@ def cross_validate(df: DataFrame, fit, folds: int = 5, label: str = "label", key
                                folds, label, "_row", seed)
         oversample = None
     else:
-        cut = stage(stratified_folds(df, folds, label, key, seed), "folds")
-    scores = []
-    for i in range(folds):
+        cut = stratified_folds(df, folds, label, key, seed)
+    cut = stage(cut, "folds")
+    sizes = {r["fold"]: r for r in cut.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), count_where(F.col(label) == 1).alias("bad")).collect()}
+    total = sum(r["n"] for r in sizes.values())
+
+    def one(i: int) -> Fold:
         train = cut.filter(F.col("fold") != i)
         if oversample is not None:
             train = stage(oversample(train), "train")  # the fit reads it many times
-        model = fit(train)
-        scored = with_probability(model, cut.filter(F.col("fold") == i), [label])
-        scores.append(classifier_metrics(scored, "score", label).first()["auc"])
-    return CrossValidation(scores)
+        n_train = total - sizes[i]["n"] if oversample is None else train.count()
+        scored = with_probability(fit(train), cut.filter(F.col("fold") == i), [label])
+        return Fold(n_train, sizes[i]["n"], sizes[i]["bad"], classifier_metrics(scored, "score", label).first()["auc"])
+
+    with ThreadPool(at_once or folds) as pool:  # the threads take the session's properties with them
+        done = pool.map(inheritable_thread_target(df.sparkSession)(one), sorted(sizes))
+    return CrossValidation([f.auc for f in done if f.auc is not None], done)
 
 
 def feature_importances(model: PipelineModel, spark, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -292,30 +323,90 @@ def leaf_paths(model: PipelineModel, spark) -> list[tuple[float, np.ndarray, np.
     return out
 
 
-def shapley_of_leaves(x: np.ndarray, leaves) -> np.ndarray:
-    """Shapley values of the tree score for a batch of rows.
+@dataclass(frozen=True)
+class LeafStack:
+    """Leaves whose paths test the same number of features: values, and features, interval places and shares by row."""
+
+    value: np.ndarray
+    feature: np.ndarray
+    above: np.ndarray
+    upto: np.ndarray
+    share: np.ndarray
+
+
+def stack_leaves(leaves, n_features: int) -> tuple[list[np.ndarray], list[LeafStack]]:
+    """Sorted thresholds of each feature, and the leaves by path length, with places among them for their bounds.
+
+    A row's values are then compared as small integers: it lies in a leaf's interval of a feature if its place
+    among that feature's thresholds is above one place and not above another.
+    """
+    cuts = [set() for _ in range(n_features)]
+    for _, f, lo, hi, _ in leaves:
+        for i, bounds in zip(f, zip(lo, hi)):
+            cuts[i].update(b for b in bounds if math.isfinite(b))
+    cuts = [np.array(sorted(c)) for c in cuts]
+    small = np.int16 if max(map(len, cuts), default=0) < 1 << 15 else np.int32
+    stacks = []
+    for d in sorted({len(leaf[1]) for leaf in leaves} - {0}):
+        same = [leaf for leaf in leaves if len(leaf[1]) == d]
+        feature, lo, hi, share = (np.array([leaf[k] for leaf in same]) for k in range(1, 5))
+        above = np.array([[-1 if b == -math.inf else np.searchsorted(cuts[i], b) for i, b in zip(*row)] for row in zip(feature, lo)], small)
+        upto = np.array([[len(cuts[i]) if b == math.inf else np.searchsorted(cuts[i], b) for i, b in zip(*row)] for row in zip(feature, hi)], small)
+        stacks.append(LeafStack(np.array([leaf[0] for leaf in same]), feature, above, upto, share))
+    return cuts, stacks
+
+
+def _payments(value: np.ndarray, share: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """What leaves pay to the features of their paths, given which of the conditions are met (features last).
 
     A leaf pays its value when the conditions of all its features are met; a feature left out counts with
     its training share. For such a product the Shapley weights turn into an integral over t of the product
     of ``share·(1-t) + met·t`` over the other features. That is a polynomial in t, so a few Gauss nodes
     give it exactly.
     """
-    out = np.zeros(x.shape)
-    rules: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for value, f, lo, hi, share in leaves:
-        d = len(f)
-        if d == 0:
-            continue
-        if d not in rules:
-            at, weight = np.polynomial.legendre.leggauss((d + 1) // 2)
-            rules[d] = ((at + 1) / 2, weight / 2)
-        met = ((x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
-        others = np.zeros_like(met)
-        for t, w in zip(*rules[d]):
-            factor = share * (1 - t) + met * t
-            others += w * factor.prod(axis=1, keepdims=True) / factor
-        out[:, f] += value * (met - share) * others
-    return out
+    at, weight = np.polynomial.legendre.leggauss((share.shape[-1] + 1) // 2)
+    others = np.zeros(np.broadcast_shapes(share.shape, met.shape))
+    for t, w in zip((at + 1) / 2, weight / 2):
+        factor = share * (1 - t) + met * t
+        others += w * factor.prod(axis=-1, keepdims=True) / factor
+    return value * (met - share) * others
+
+
+LEAVES_AT_ONCE, LONG_PATH = 256, 10
+
+
+def shapley_of_leaves(x: np.ndarray, cuts: list[np.ndarray], stacks: list[LeafStack]) -> np.ndarray:
+    """Shapley values of the tree score for a batch of rows.
+
+    All that a row can do to a leaf of d features is to meet some of its d conditions, so the leaf's payments are
+    worked out once per pattern and looked up for the rows; leaves go through together, a block at a time. On paths
+    of more than ``LONG_PATH`` features, which have too many patterns, a leaf's payments are worked out row by row.
+    """
+    out = np.zeros((x.shape[1], len(x)))
+    small = stacks[0].above.dtype if stacks else np.int32
+    place = np.array([np.searchsorted(c, x[:, i]) for i, c in enumerate(cuts)], small)  # a value at a threshold stays left
+    for stack in stacks:
+        d = stack.feature.shape[1]
+        at_once = LEAVES_AT_ONCE if d <= LONG_PATH else 1
+        for first in range(0, len(stack.value), at_once):
+            chosen = slice(first, first + at_once)
+            feature, value, share = stack.feature[chosen], stack.value[chosen, None, None], stack.share[chosen, None, :]
+            if d > LONG_PATH:
+                own = place[feature[0]]
+                met = (own > stack.above[first, :, None]) & (own <= stack.upto[first, :, None])
+                np.add.at(out, feature[0], _payments(value, share, met.T[None].astype(float))[0].T)
+                continue
+            patterns = (np.arange(1 << d)[:, None] >> np.arange(d) & 1).astype(float)
+            pay = _payments(value, share, patterns[None])
+            shown = np.repeat(np.arange(len(feature), dtype=np.int32)[:, None] << d, len(x), axis=1)
+            for j in range(d):
+                own = place[feature[:, j]]
+                shown += ((own > stack.above[chosen, j, None]) & (own <= stack.upto[chosen, j, None])).view(np.uint8).astype(np.int32) << j
+            for j in range(d):
+                to = np.zeros((x.shape[1], len(feature)))
+                to[feature[:, j], np.arange(len(feature))] = 1.0
+                out += to @ np.ascontiguousarray(pay[:, :, j]).ravel().take(shown)
+    return out.T
 
 
 def with_tree_contributions(model: PipelineModel, df: DataFrame, features: Sequence[str] = FEATURES,
@@ -323,12 +414,12 @@ def with_tree_contributions(model: PipelineModel, df: DataFrame, features: Seque
     """Add an array of per-feature contributions to the log-odds, in feature order."""
     spark = df.sparkSession
     cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the executors need no copy of this package
-    shared = spark.sparkContext.broadcast(leaf_paths(model, spark))
+    shared = spark.sparkContext.broadcast(stack_leaves(leaf_paths(model, spark), len(features)))
 
     @F.pandas_udf("array<double>")
     def explain(x: pd.Series) -> pd.Series:
         # the log-odds of a two-class boosted ensemble are twice its summed tree outputs
-        return pd.Series(list(2.0 * shapley_of_leaves(np.stack(x.to_numpy()), shared.value)))
+        return pd.Series(list(2.0 * shapley_of_leaves(np.stack(x.to_numpy()), *shared.value)))
 
     return df.withColumn(name, explain(F.array(*[F.col(f).cast("double") for f in features])))
 

@@ -120,8 +120,3 @@ def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
                                 for c in columns]))
     return df.select(*keep, pairs.alias("_p")).select(*keep, "_p.feature", "_p.value")
-
-
-def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of many columns in one pass: (feature, prob, value)."""
-    return exact_quantiles(long_values(df, columns), "value", probs, ["feature"])

@@ -11,7 +11,8 @@ from riskmart.functions.scalars import round_half_up
 from riskmart.operators import analytics as an
 from riskmart.operators import features as feat
 from riskmart.operators import staging as st
-from riskmart.operators.ranking import column_quantiles, with_ntile
+from riskmart.operators.quantiles import column_quantiles
+from riskmart.operators.ranking import with_ntile
 from riskmart.plans.marts import labelled_rows, portfolio_summary
 from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
@@ -245,12 +246,15 @@ SELECT CAST(label AS BIGINT) AS label, COUNT(*) AS rows, {rnd(div('COUNT(*)', '(
   {rnd(div('(SELECT COUNT(*) FROM ml_features_training WHERE label = 0)', '(SELECT COUNT(*) FROM ml_features_training WHERE label = 1)'), 6)} AS neg_pos_ratio
 FROM ml_features_training GROUP BY label""")
 
-_HISTOGRAM = ("credit_to_income_ratio", "ext_source_2", "age_years")
+_HISTOGRAM = ("ext_source_2", "bureau_delinquency_rate", "inst_late_rate", "credit_to_income_ratio", "inst_max_days_late", "cc_avg_utilization")
 add("clipped_histogram", lambda b: cast_long(an.clipped_histogram(b.training, _HISTOGRAM), "label", "bin"), " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, CAST(label AS BIGINT) AS label, CAST(LEAST(COALESCE(FLOOR((LEAST(GREATEST(CAST({c} AS DOUBLE), lo), hi) - lo)
-    / NULLIF((hi - lo) / CAST(20 AS DOUBLE), 0)), 0), 19) AS BIGINT) AS bin, COUNT(*) AS rows
-    FROM ml_features_training, (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.01) AS lo, quantile_cont(CAST({c} AS DOUBLE), 0.99) AS hi FROM ml_features_training)
-    WHERE {c} IS NOT NULL GROUP BY ALL""" for c in _HISTOGRAM))
+    f"""SELECT '{c}' AS feature, CAST(label AS BIGINT) AS label, bin, COUNT(*) AS rows, outside AS rows_outside FROM (
+      SELECT label, CAST(LEAST(COALESCE(FLOOR((v - lo) / NULLIF((hi - lo) / CAST(20 AS DOUBLE), 0)), 0), 19) AS BIGINT) AS bin, inside,
+        COUNT(*) FILTER (WHERE NOT inside) OVER (PARTITION BY label) AS outside
+      FROM (SELECT label, v, lo, hi, v BETWEEN lo AND hi AS inside FROM (SELECT label, CAST({c} AS DOUBLE) AS v FROM ml_features_training WHERE {c} IS NOT NULL)
+        JOIN (SELECT label, quantile_cont(CAST({c} AS DOUBLE), 0.01) AS lo, quantile_cont(CAST({c} AS DOUBLE), 0.99) AS hi
+          FROM ml_features_training GROUP BY label) USING (label)))
+    WHERE inside GROUP BY ALL""" for c in _HISTOGRAM))
 
 # ---- windows --------------------------------------------------------------------------------------
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from riskmart.constants import FEATURES, SMOTE_SHARE
 from riskmart.operators import measures as me
 from riskmart.operators import metrics as mt
-from riskmart.operators import ml
+from riskmart.operators import logit, ml
 from riskmart.operators import policy as po
 from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
@@ -300,10 +300,87 @@ SELECT label, FALSE AS synthetic, COUNT(*) AS rows FROM ml_features_training GRO
 UNION ALL SELECT 1, TRUE, CAST(FLOOR({SMOTE_SHARE} * many) AS BIGINT) - few
 FROM (SELECT COUNT(*) FILTER (WHERE label = 0) AS many, COUNT(*) FILTER (WHERE label = 1) AS few FROM ml_features_training)
 WHERE FLOOR({SMOTE_SHARE} * many) > few AND few > 1""")
-add("logistic_cross_validation", lambda b: ml.cross_validate(
-    _training(b), lambda t: ml.fit_logistic(t), oversample=lambda t: ml.smote(t)).to_frame(b.spark, "logistic"))
-add("tree_cross_validation", lambda b: ml.cross_validate(
-    _training(b), lambda t: ml.fit_trees(t)).to_frame(b.spark, "boosted_trees"))
+_LOGIT_FEATURES, _LOGIT_STEPS = ("credit_to_income_ratio", "inst_late_rate"), 6
+
+
+def _logit(b: Bound) -> logit.Logit:
+    """Two features and a fixed number of steps, which SQL can follow."""
+    return logit.fit_logit(b.training, _LOGIT_FEATURES, max_steps=_LOGIT_STEPS, tolerance=0.0)
+
+
+def _logit_sql(final: str) -> str:
+    """The same steps: curvature and slope by one aggregation each, the 3 by 3 equations solved by Cramer's rule."""
+    one = "CAST(1 AS DOUBLE)"
+    blocks = [
+        f"t AS (SELECT applicant_id, CAST(label AS DOUBLE) AS y, CAST({_LOGIT_FEATURES[0]} AS DOUBLE) AS x1, CAST({_LOGIT_FEATURES[1]} AS DOUBLE) AS x2 "
+        f"FROM ml_features_training WHERE label IS NOT NULL AND {_LOGIT_FEATURES[0]} IS NOT NULL AND {_LOGIT_FEATURES[1]} IS NOT NULL)",
+        "m AS (SELECT AVG(x1) AS m1, STDDEV_SAMP(x1) AS s1, AVG(x2) AS m2, STDDEV_SAMP(x2) AS s2 FROM t)",
+        "z AS (SELECT y, (x1 - m1) / s1 AS a, (x2 - m2) / s2 AS b FROM t, m)",
+        "b0 AS (SELECT CAST(0 AS DOUBLE) AS c0, CAST(0 AS DOUBLE) AS c1, CAST(0 AS DOUBLE) AS c2)"]
+    for k in range(_LOGIT_STEPS):
+        blocks += [
+            f"p{k} AS (SELECT y, a, b, {one} / ({one} + EXP(-(c0 + c1 * a + c2 * b))) AS p, c0, c1, c2 FROM z, b{k})",
+            f"g{k} AS (SELECT SUM(p * (1 - p)) AS h00, SUM(p * (1 - p) * a) AS h01, SUM(p * (1 - p) * b) AS h02, SUM(p * (1 - p) * a * a) + 1 AS h11, "
+            f"SUM(p * (1 - p) * a * b) AS h12, SUM(p * (1 - p) * b * b) + 1 AS h22, SUM(y - p) AS g0, SUM((y - p) * a) - MAX(c1) AS g1, "
+            f"SUM((y - p) * b) - MAX(c2) AS g2, MAX(c0) AS c0, MAX(c1) AS c1, MAX(c2) AS c2 FROM p{k})",
+            f"d{k} AS (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det FROM g{k})",
+            f"b{k + 1} AS (SELECT c0 + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det AS c0, "
+            f"c1 + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det AS c1, "
+            f"c2 + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det AS c2 FROM d{k})"]
+    blocks.append(f"fit AS (SELECT c1 / s1 AS k1, c2 / s2 AS k2, c0 - c1 * m1 / s1 - c2 * m2 / s2 AS k0 FROM b{_LOGIT_STEPS}, m)")
+    return f"SELECT * FROM (WITH {', '.join(blocks)} {final})"
+
+
+add("logistic_coefficients", lambda b: rounded(_logit(b).to_frame(b.spark), 6, "coefficient"), _logit_sql(
+    f"SELECT '(intercept)' AS feature, {rnd('k0', 6)} AS coefficient FROM fit UNION ALL SELECT '{_LOGIT_FEATURES[0]}', {rnd('k1', 6)} FROM fit "
+    f"UNION ALL SELECT '{_LOGIT_FEATURES[1]}', {rnd('k2', 6)} FROM fit"))
+add("logistic_scoring", lambda b: ml.with_tier(ml.with_probability(_logit(b), b.training, ["applicant_id"])).drop("score"), _logit_sql(
+    f"SELECT applicant_id, {rnd('p', 4)} AS default_probability, {_TIERED} AS risk_tier, {_DECIDED} AS decision, 'xgb_v1' AS model_version "
+    "FROM (SELECT applicant_id, CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + EXP(-(k0 + k1 * x1 + k2 * x2))) AS p FROM t, fit)"))
+
+
+def _logit_factors(b: Bound) -> DataFrame:
+    """The fitted model's contributions, against the mean row of the table it was fitted on."""
+    model = _logit(b)
+    parts = ml.linear_contributions(model.weights(), dict(zip(model.features, model.means)))
+    return ml.global_importance(b.training, parts)
+
+
+add("logistic_importance", _logit_factors, _logit_sql(" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {rnd(f'AVG(ABS(k{i} * (x{i} - m{i})))', 6)} AS mean_abs_contribution FROM t, fit, m" for i, f in enumerate(_LOGIT_FEATURES, 1))))
+
+
+_validated: dict[tuple[str, str, str], ml.CrossValidation] = {}
+
+
+def _validation(b: Bound, model: str) -> ml.CrossValidation:
+    """The folds of a model, fitted once per application and data folder."""
+    key = (b.spark.sparkContext.applicationId, b.sf_dir, model)
+    if key not in _validated:
+        fit, oversample = {"logistic": (lambda t: ml.fit_logistic(t), lambda t: ml.smote(t)), "boosted_trees": (lambda t: ml.fit_trees(t), None)}[model]
+        _validated[key] = ml.cross_validate(_training(b), fit, oversample=oversample)
+    return _validated[key]
+
+
+def _checked_folds(b: Bound, model: str) -> DataFrame:
+    """What must hold of each fold; the AUC itself is in the query of the scores."""
+    in_range = (F.col("auc") >= 0) & (F.col("auc") <= 1)
+    return _validation(b, model).fold_frame(b.spark, model).select(
+        "model", F.col("fold").cast("long").alias("fold"), "n_train", "n_test", "n_default", F.coalesce(in_range, F.lit(False)).alias("auc_in_range"))
+
+
+def _folds_sql(model: str, train: str) -> str:
+    return f"""
+WITH folds AS (SELECT label, ({_SHUFFLED} - 1) % 5 AS fold FROM ml_features_training),
+sizes AS (SELECT fold, COUNT(*) AS n_test, COUNT(*) FILTER (WHERE label = 1) AS n_default, COUNT(*) FILTER (WHERE label = 0) AS n_good FROM folds GROUP BY fold),
+rest AS (SELECT s.*, (SELECT SUM(o.n_default) FROM sizes o WHERE o.fold <> s.fold) AS few, (SELECT SUM(o.n_good) FROM sizes o WHERE o.fold <> s.fold) AS many FROM sizes s)
+SELECT '{model}' AS model, CAST(fold AS BIGINT) AS fold, CAST({train} AS BIGINT) AS n_train, n_test, n_default, n_default > 0 AND n_good > 0 AS auc_in_range FROM rest"""
+
+
+for _model, _train in (("logistic", f"many + CASE WHEN few > 1 THEN GREATEST(few, FLOOR({SMOTE_SHARE} * many)) ELSE few END"), ("boosted_trees", "many + few")):
+    _query = {"logistic": "logistic_cross_validation", "boosted_trees": "tree_cross_validation"}[_model]
+    add(_query, lambda b, m=_model: _checked_folds(b, m), f"SELECT * FROM ({_folds_sql(_model, _train)})")
+    add(f"{_query}_scores", lambda b, m=_model: _validation(b, m).to_frame(b.spark, m))
 
 
 _models: dict[tuple[str, str], str] = {}

@@ -9,10 +9,11 @@ from riskmart.constants import RECORD_BOUNDS
 from riskmart.operators import history as hi
 from riskmart.operators import quality as qu
 from riskmart.operators.quality import Rule
-from riskmart.plans import rulesets
+from riskmart.operators.staging import stg_application
+from riskmart.plans import rulesets, run
 from riskmart.registry.bound import Bound
 from riskmart.registry.catalog import add
-from riskmart.registry.sql import rnd
+from riskmart.registry.sql import TABLES, compose, rnd
 
 FACT = "mart_credit_application_fact"
 NOW = "2024-01-20 12:00:00"
@@ -142,14 +143,10 @@ _DAY1, _DAY2 = "2024-01-01 06:00:00", "2024-01-02 06:00:00"
 
 
 def _risk(b: Bound, until: str) -> DataFrame:
-    from riskmart.functions.bands import risk_segment
-    from riskmart.functions.scalars import round_half_up
-    from riskmart.operators.staging import stg_application
-
-    raw = b.raw["application_train"]
-    app = stg_application(raw.filter(F.col("loaded_at") <= F.lit(until).cast("timestamp_ntz")))
-    return app.select("applicant_id", risk_segment("credit_to_income_ratio").alias("credit_risk_segment"),
-                      round_half_up(F.col("credit_to_income_ratio") / F.lit(10.0), 4).alias("composite_risk_score"))
+    """What the snapshot of a day sees: the fact over the applications loaded by then."""
+    loaded = b.raw["application_train"].filter(F.col("loaded_at") <= F.lit(until).cast("timestamp_ntz"))
+    staged = {**b.staged, "stg_application_train": stg_application(loaded)}
+    return hi.snapshot_source(b.written(f"fact-{until[:10]}", lambda: run.fact_of(staged, b.features)))
 
 
 def _history(b: Bound) -> DataFrame:
@@ -163,12 +160,9 @@ def _show(df: DataFrame) -> DataFrame:
 
 
 def _risk_sql(until: str) -> str:
-    from riskmart.registry.sql import div, segment
-
-    ratio = rnd(div("amt_credit", "amt_income_total"), 4)
-    return f"""(SELECT sk_id_curr AS applicant_id, {segment(ratio)} AS credit_risk_segment, {rnd(f'{ratio} / CAST(10 AS DOUBLE)', 4)} AS composite_risk_score
-      FROM application_train WHERE loaded_at <= TIMESTAMP '{until}' AND amt_income_total > 0 AND amt_credit > 0
-      QUALIFY ROW_NUMBER() OVER (PARTITION BY sk_id_curr ORDER BY loaded_at DESC) = 1)"""
+    loaded = f"SELECT * FROM ({TABLES['application_train']}) WHERE loaded_at <= TIMESTAMP '{until}'"
+    body = "SELECT applicant_id, credit_risk_segment, composite_risk_score FROM mart_credit_application_fact"
+    return f"({compose(body, {'application_train': loaded})})"
 
 
 _PAIRS = f"""SELECT o.applicant_id AS old_id, o.credit_risk_segment AS old_seg, o.composite_risk_score AS old_score, n.*,

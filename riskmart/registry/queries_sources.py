@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.constants import FEATURES, MACRO_SERIES
+from riskmart.constants import FEATURES, MACRO_SERIES, RECORD_BOUNDS
 from riskmart.operators import ml
 from riskmart.operators.analytics import load_counts
 from riskmart.plans import run
@@ -24,7 +24,7 @@ from riskmart.sources import raw_csv as rc
 from riskmart.sources.credit_binding import RAW_TABLES
 from riskmart.sources.schemas import DDL, raw_schema
 from riskmart.sources.tables import LayerStore, VersionedTable, feature_store_summary, write_csv
-from riskmart.streaming import jobs
+from riskmart.streaming import jobs, requests
 
 # ---- CSV ------------------------------------------------------------------------------------------
 
@@ -261,24 +261,35 @@ add("stream_domain_alert", _stream_alert, _alert_sql(list(_ALERTS)))
 
 
 def _stream_score(b: Bound) -> DataFrame:
-    """Each event is a scoring request with its user's figures."""
+    """Each event is a scoring request with its user's figures; every one is answered."""
     base = scratch_path(b.spark, "stream")
     records = b.fact.select(F.col("applicant_id").alias("user_id"), *[F.col(f).cast("double").alias(f) for f in FEATURES])
-    requests = b.source("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("event_time")).join(records, "user_id")
-    # utilization of these card holders is above the accepted bound; score the capped figure
-    requests = requests.withColumn("cc_avg_utilization", F.least("cc_avg_utilization", F.lit(3.0))).withColumn(
-        "composite_risk_score", F.least("composite_risk_score", F.lit(1.0)))
-    scored = jobs.score_applications(_stream_of(requests, base), lambda d: ml.with_tier(
-        d.withColumn("score", F.col("composite_risk_score") / F.lit(3.0))), "event_time")
-    jobs.write_stream(scored.select("user_id", "default_probability", "risk_tier", "decision"),
-                      f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return b.spark.read.parquet(f"{base}/out")
-
-
-# all requests arrive in one batch, so every repeat of a record is held back
+    asked = b.source("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("event_time")).join(records, "user_id")
+    answers = requests.answer_requests(_stream_of(asked, base), lambda d: ml.with_tier(
+        d.withColumn("score", F.col("composite_risk_score") / F.lit(3.0))).drop("score"), "event_id", "event_time")
+    requests.write_answers(answers, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return b.spark.read.parquet(f"{base}/out").select(
+        F.col("request_id").cast("long").alias("event_id"), "status", F.array_join("reasons", ",").alias("reasons"),
+        F.col("scored_by").cast("long").alias("scored_by"), "default_probability", "risk_tier", "decision")
+
+
+_FILLED = ", ".join(f"COALESCE(CAST({f} AS DOUBLE), {RECORD_BOUNDS[f][0]})" if RECORD_BOUNDS[f][0] is not None else f"CAST({f} AS DOUBLE)" for f in FEATURES)
+
 add("stream_scoring", _stream_score, f"""
-SELECT user_id, {rnd('p', 4)} AS default_probability, {_TIERED} AS risk_tier, {_DECIDED} AS decision
-FROM (SELECT applicant_id AS user_id, composite_risk_score / CAST(3 AS DOUBLE) AS p, {_reasons_sql()} AS reasons
-  FROM (SELECT * REPLACE (LEAST(cc_avg_utilization, 3) AS cc_avg_utilization, LEAST(composite_risk_score, 1) AS composite_risk_score)
-    FROM mart_credit_application_fact))
-WHERE reasons = '' AND user_id IN (SELECT user_id FROM events)""")
+SELECT * FROM (WITH RECURSIVE asked AS (
+  SELECT event_id, ts, reasons, md5(CAST(rec AS VARCHAR)) AS rec, p FROM events JOIN (
+    SELECT applicant_id, {_reasons_sql()} AS reasons, [{_FILLED}] AS rec,
+      COALESCE(CAST(composite_risk_score AS DOUBLE), 0.0) / CAST(3 AS DOUBLE) AS p
+    FROM mart_credit_application_fact) ON user_id = applicant_id),
+valid AS (SELECT *, struct_pack(ts := ts, id := CAST(event_id AS VARCHAR)) AS place FROM asked WHERE reasons = ''),
+scored AS (
+  SELECT rec, MIN(place) AS place FROM valid GROUP BY rec
+  UNION ALL
+  SELECT s.rec, MIN(v.place) FROM scored s JOIN valid v ON v.rec = s.rec AND v.ts >= s.place.ts + INTERVAL 1 HOUR GROUP BY s.rec, s.place),
+answered AS (
+  SELECT event_id, rec, p, reasons, place, (SELECT MAX(s.place) FROM scored s WHERE s.rec = v.rec AND s.place <= v.place) AS source FROM valid v)
+SELECT event_id, CASE WHEN source = place THEN 'scored' ELSE 'reused' END AS status, reasons, CAST(source.id AS BIGINT) AS scored_by,
+  {rnd('p', 4)} AS default_probability, {_TIERED} AS risk_tier, {_DECIDED} AS decision
+FROM answered
+UNION ALL
+SELECT event_id, 'rejected', reasons, NULL, NULL, NULL, NULL FROM asked WHERE reasons <> '')""")

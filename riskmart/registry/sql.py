@@ -133,7 +133,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 TABLES["credit_card_balance"] = """
 SELECT event_id AS sk_id_prev, user_id AS sk_id_curr, CAST(-day(ts) AS INTEGER) AS months_balance, value * CAST(160 AS DOUBLE) AS amt_balance,
-  CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE CAST(100 + (event_id % 10) * 100 AS DOUBLE) END AS amt_credit_limit_actual,
+  CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE CAST(800 + (event_id % 10) * 800 AS DOUBLE) END AS amt_credit_limit_actual,
   CASE WHEN event_type <> 'view' THEN value END AS amt_drawings_current,
   CASE WHEN event_type <> 'click' THEN value * CAST(0.5 AS DOUBLE) END AS amt_payment_current,
   value * CAST(160 AS DOUBLE) AS amt_total_receivable, CAST(event_id % 5 AS INTEGER) AS cnt_drawings_current,
@@ -338,12 +338,13 @@ def _mentioned(text: str) -> set[str]:
     return {n for n in TABLES if re.search(rf"\b{n}\b", text)}
 
 
-def compose(body: str) -> str:
-    """The query with the WITH blocks it needs, in the order they are defined."""
+def compose(body: str, given: dict[str, str] | None = None) -> str:
+    """The query with the WITH blocks it needs, in the order they are defined; ``given`` tables stand in for the usual ones."""
+    tables = {**TABLES, **(given or {})}
     needed, todo = set(), _mentioned(body)
     while todo:
         name = todo.pop()
         needed.add(name)
-        todo |= _mentioned(TABLES[name]) - needed
-    blocks = [f"{n} AS ({TABLES[n].strip()})" for n in TABLES if n in needed]
+        todo |= _mentioned(tables[name]) - needed
+    blocks = [f"{n} AS ({tables[n].strip()})" for n in tables if n in needed]
     return (f"WITH {', '.join(blocks)} " if blocks else "") + body.strip()

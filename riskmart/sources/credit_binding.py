@@ -166,7 +166,7 @@ def credit_card_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("sk_id_curr"),
         (-F.dayofmonth("ts")).cast("int").alias("months_balance"),
         (value * 160).alias("amt_balance"),
-        F.when(failed, F.lit(0.0)).otherwise((F.lit(100) + (k % 10) * 100).cast("double")).alias("amt_credit_limit_actual"),
+        F.when(failed, F.lit(0.0)).otherwise((F.lit(800) + (k % 10) * 800).cast("double")).alias("amt_credit_limit_actual"),
         _null_if(kind == "view", value).alias("amt_drawings_current"),
         _null_if(kind == "click", value * F.lit(0.5)).alias("amt_payment_current"),
         (value * 160).alias("amt_total_receivable"),

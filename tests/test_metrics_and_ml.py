@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskmart.operators import metrics as mt
-from riskmart.operators import ml
+from riskmart.operators import logit, ml
 
 SHORT = ["f0", "f1", "f2"]
 
@@ -186,6 +186,40 @@ def test_top_factors(spark):
     assert [(x["feature"], x["direction"], x["impact"]) for x in r] == [("b", "decreases", 3.0001), ("a", "increases", 1.0), ("c", "increases", 0.5)]
 
 
+@pytest.mark.parametrize("long_path", [10, 2])
+def test_stacked_leaves_give_the_sum_over_single_leaves(monkeypatch, long_path):
+    monkeypatch.setattr(ml, "LONG_PATH", long_path)
+    monkeypatch.setattr(ml, "LEAVES_AT_ONCE", 7)
+    rng = np.random.default_rng(1)
+    leaves = []
+    for _ in range(60):
+        f = rng.choice(6, rng.integers(0, 5), replace=False)
+        lo, hi = np.sort(rng.integers(0, 5, (2, len(f))) / 4, axis=0)
+        leaves.append((rng.normal(), f, np.where(rng.random(len(f)) < 0.3, -np.inf, lo), np.where(rng.random(len(f)) < 0.3, np.inf, hi), rng.random(len(f)) * 0.9 + 0.05))
+    x = rng.integers(0, 5, (40, 6)) / 4  # many values at a threshold
+    got = ml.shapley_of_leaves(x, *ml.stack_leaves(leaves, 6))
+    want = np.zeros(x.shape)
+    for value, f, lo, hi, share in leaves:
+        for r, row in enumerate(x):
+            met = (row[f] > lo) & (row[f] <= hi)
+            for j in range(len(f)):
+                rest = [k for k in range(len(f)) if k != j]
+                for size in range(len(f)):
+                    for s in itertools.combinations(rest, size):
+                        w = math.factorial(size) * math.factorial(len(f) - size - 1) / math.factorial(len(f))
+                        others = math.prod(float(met[k]) if k in s else share[k] for k in rest)
+                        want[r, f[j]] += w * value * others * (met[j] - share[j])
+    assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_folds_fitted_at_once_equal_folds_fitted_in_turn(spark, signal):
+    runs = [ml.cross_validate(signal, lambda t: ml.fit_logistic(t, SHORT), folds=4, at_once=n) for n in (1, 4)]
+    assert runs[0] == runs[1] and len(runs[0].folds) == 4
+    rows = signal.count()
+    assert all(f.n_train + f.n_test == rows for f in runs[0].folds) and sum(f.n_test for f in runs[0].folds) == rows
+    assert [r["n_default"] for r in runs[0].fold_frame(spark, "m").orderBy("fold").collect()] == [f.n_default for f in runs[0].folds]
+
+
 def test_tier_is_taken_before_rounding(spark):
     r = ml.with_tier(spark.createDataFrame([(0.04999999,)], "score double")).first()
     assert (r["risk_tier"], r["default_probability"], r["decision"]) == ("LOW", 0.05, "APPROVE")
@@ -228,12 +262,38 @@ def test_registered_tree_queries_use_the_full_settings(spark, monkeypatch):
     def cross_validate(df, fit, **options):
         folds.append(options.get("folds", inspect.signature(real_cv).parameters["folds"].default))
         fit(df)
-        return ml.CrossValidation([0.5] * folds[-1])
+        return ml.CrossValidation([0.5] * folds[-1], [ml.Fold(8, 2, 1, 0.5)] * folds[-1])
 
     real_cv = ml.cross_validate
     monkeypatch.setattr(ml, "fit_trees", small)
     monkeypatch.setattr(ml, "cross_validate", cross_validate)
     monkeypatch.setattr("riskmart.registry.queries_reports._models", {})
-    for name in ("tree_cross_validation", "tree_held_out_metrics", "tree_feature_importances", "tree_scores_with_factors"):
+    monkeypatch.setattr("riskmart.registry.queries_reports._validated", {})
+    for name in ("tree_cross_validation", "tree_cross_validation_scores", "tree_held_out_metrics", "tree_feature_importances", "tree_scores_with_factors"):
         assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
     assert fits == [{}] * 3 and folds == [5]
+
+
+def test_reweighted_least_squares_equals_the_library_fit(spark, signal):
+    model = logit.fit_logit(signal.repartition(3), SHORT)
+    rows = signal.count()
+    pipeline = ml.Pipeline(stages=[
+        ml.VectorAssembler(inputCols=SHORT, outputCol="raw"), ml.StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
+        ml.LogisticRegression(featuresCol="scaled", labelCol="label", maxIter=500, tol=1e-12, regParam=1.0 / rows, elasticNetParam=0.0, standardization=False),
+    ]).fit(signal)
+    scaler, fitted = pipeline.stages[1], pipeline.stages[2]
+    assert model.converged and model.steps < 15
+    assert list(model.coefficients) == pytest.approx([b / s for b, s in zip(fitted.coefficients, scaler.std)], abs=1e-6)
+    scored = ml.with_probability(model, signal, ["applicant_id"]).join(
+        ml.with_probability(pipeline, signal, ["applicant_id"]).withColumnRenamed("score", "other"), "applicant_id")
+    assert scored.agg(F.max(F.abs(F.col("score") - F.col("other")))).first()[0] < 1e-6
+
+
+def test_logit_of_odd_tables(spark):
+    schema = "label int, a double, b double"
+    empty = logit.fit_logit(spark.createDataFrame([], schema), ["a", "b"])
+    assert empty.coefficients == (0.0, 0.0) and empty.converged
+    flat = logit.fit_logit(spark.createDataFrame([(i % 2, 1.0, float(i)) for i in range(8)] + [(None, 2.0, 3.0), (1, None, 3.0)], schema), ["a", "b"])
+    assert flat.coefficients[0] == pytest.approx(0.0) and flat.converged
+    apart = logit.fit_logit(spark.createDataFrame([(int(i > 5), 0.0, float(i)) for i in range(12)], schema), ["a", "b"])  # separable
+    assert apart.converged and apart.coefficients[1] > 0

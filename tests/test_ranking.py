@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from riskmart.operators.ranking import (column_quantiles, exact_quantiles, tile_of, with_ntile, with_position, with_running_total)
+from riskmart.operators.quantiles import column_quantiles
+from riskmart.operators.ranking import (exact_quantiles, tile_of, with_ntile, with_position, with_running_total)
 
 
 def keyed(spark, n=1500):

@@ -10,7 +10,7 @@ from riskmart.operators import ml
 from riskmart.operators.quality import domain_violations, validate_records
 from riskmart.sources import raw_csv as rc
 from riskmart.sources.tables import VersionedTable
-from riskmart.streaming import jobs
+from riskmart.streaming import jobs, requests
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
 
@@ -73,3 +73,29 @@ def test_scoring_stream_skips_invalid_and_repeated_records(spark, tmp_path):
     assert sorted((r["ext_source_1"], r["risk_tier"]) for r in out) == [(0.1, "MEDIUM"), (0.5, "VERY_HIGH")]
     assert 7 not in {r["n"] for r in out}
     assert validate_records(df, RECORD_BOUNDS)[1].count() == jobs.rejected_applications(df).count() == 1
+
+
+def test_every_request_is_answered_over_restarts(spark, tmp_path):
+    base = {f: 0.5 for f in FEATURES} | {"age_years": 40.0}
+    day = "2024-01-01 "
+
+    def arrive(factor, *asked):
+        df = spark.createDataFrame([dict(base, **a) for a in asked]).withColumn("at", F.col("at").cast("timestamp"))
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        answers = requests.answer_requests(
+            stream, lambda d: ml.with_tier(d.withColumn("score", F.col("ext_source_1") * factor)).drop("score"), "n", "at")
+        requests.write_answers(answers, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        out = spark.read.parquet(str(tmp_path / "out"))
+        return {int(r["request_id"]): (r["status"], r["scored_by"], r["default_probability"], list(r["reasons"])) for r in out.collect()}
+
+    found = arrive(1.0, dict(n=2, at=day + "00:59:59"), dict(n=1, at=day + "00:00:00"), dict(n=3, at=day + "01:00:00"),
+                   dict(n=4, at=day + "00:00:00", age_years=16.0), dict(n=5, at=day + "00:30:00", ext_source_1=0.1))
+    assert found == {1: ("scored", "1", 0.5, []), 2: ("reused", "1", 0.5, []), 3: ("scored", "3", 0.5, []),
+                     4: ("rejected", None, None, ["age_years: below 18"]), 5: ("scored", "5", 0.1, [])}
+    # A new model scores what is new; repeats, late ones too, get the answer that is held. Two of one time: by id.
+    found = arrive(0.5, dict(n=6, at=day + "01:30:00"), dict(n=7, at=day + "00:10:00"), dict(n=9, at=day + "02:00:00"),
+                   dict(n=8, at=day + "02:00:00"), dict(n=8, at=day + "02:00:00"))
+    assert {n: found[n][:3] for n in (6, 7, 9)} == {6: ("reused", "3", 0.5), 7: ("reused", "3", 0.5), 9: ("reused", "8", 0.25)}
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 10 and sorted(r["status"] for r in out.filter("request_id = 8").collect()) == ["reused", "scored"]
