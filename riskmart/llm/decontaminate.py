@@ -1,9 +1,12 @@
 """Benchmark decontamination by spaced seeds.
 
-A mask is laid on every run of ``SPAN`` words and ignores some of its places, so a passage in which words
-were exchanged still shares a seed with its source as long as the exchanged words fall on ignored places
-of one mask somewhere. Seeds of the training text meet those of the benchmark in a hash join, and around
-each hit the two texts are laid on each other and compared word by word.
+A mask is laid on every place of a text and compares some of the words from there on, so a passage in which words
+were exchanged still shares a seed with its source where the exchanged words fall on places a mask ignores.
+Seeds of the training text meet those of the benchmark in a hash join, and around each hit the two texts are laid
+on each other and compared word by word.
+
+The masks are a family: of every window of 8 to 16 words in which a quarter is exchanged, wherever, at least one
+mask compares only words that are equal. What the comparison accepts is therefore always found.
 """
 
 from __future__ import annotations
@@ -15,11 +18,14 @@ from riskmart.llm.common import id_out, keyed, with_key
 from riskmart.session import stage
 
 # The masks; 1 is compared, 0 ignored.
-MASKS = ("11101101", "10110111", "11011011")
-SPAN = len(MASKS[0])
+MASKS = ("111011", "11001011", "11111", "101111", "11110001", "10100111", "11010101")
 # A passage counts where, of WINDOW words laid on each other (or all of a shorter item), this share is equal.
 WINDOW = 16
 MIN_EQUAL_PERCENT = 75
+# Items of fewer than SHORT words must be there word by word, from their first word on, which the mask without gaps
+# finds; those of fewer than MIN_ITEM are too short to tell from chance.
+SHORT, MIN_ITEM = 8, 5
+WHOLE = MASKS.index("1" * MIN_ITEM)
 TOKEN = r"[\p{L}\p{N}]+"
 # The seeds of the benchmark are broadcast up to this many bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 64 << 20
@@ -35,29 +41,31 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda w: F.xxhash64(w))
 
 
-def seeds_at(hashes: str, i: Column) -> Column:
-    """One seed for each mask of the run that starts at place ``i``; each mask's seeds are its own."""
-    return F.array(*[F.xxhash64(F.lit(n), *[F.get(hashes, i + p) for p, on in enumerate(mask) if on == "1"])
-                     for n, mask in enumerate(MASKS)])
+def _seed(hashes: str, i: Column, n: int) -> Column:
+    """Seed of mask ``n`` at place ``i``, null where the mask does not fit; each mask's seeds are its own."""
+    compared = [p for p, on in enumerate(MASKS[n]) if on == "1"]
+    return F.when(i + len(MASKS[n]) <= F.size(hashes), F.xxhash64(F.lit(n), *[F.get(hashes, i + p) for p in compared]))
 
 
 def with_seeds(rows: DataFrame, hashes: str, place: str) -> DataFrame:
-    """A row for each place and mask of ``hashes``, with ``place`` and ``seed``; none for fewer than ``SPAN`` words.
+    """A row for each place of ``hashes`` and mask that fits there, with ``place`` and ``seed``.
 
     The outer form of explode keeps the optimizer from testing the array, and so hashing the text, once more.
     """
-    starts = F.when(F.size(hashes) >= SPAN, F.sequence(F.lit(0), F.size(hashes) - SPAN))
+    starts = F.when(F.size(hashes) >= MIN_ITEM, F.sequence(F.lit(0), F.size(hashes) - MIN_ITEM))
     runs = rows.withColumn(place, F.explode_outer(starts)).filter(F.col(place).isNotNull())
-    return runs.withColumn("seed", F.explode(seeds_at(hashes, F.col(place))))
+    return runs.withColumn("seed", F.explode(F.array(*[_seed(hashes, F.col(place), n) for n in range(len(MASKS))])))
 
 
 def benchmark_seeds(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The items (``item_id, item``: hashes of its words) and their seeds (``seed, item_id, item_place``)."""
     items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                                    token_hashes(F.col("text").cast("string")).alias("item"))
-                  .filter(F.col("item_id").isNotNull() & (F.size("item") >= SPAN)).distinct(), "benchmark-items")
-    seeds = stage(with_seeds(items, "item", "item_place").select("seed", "item_id", "item_place", "item").distinct(),
-                  "benchmark-seeds")
+                  .filter(F.col("item_id").isNotNull() & (F.size("item") >= MIN_ITEM)).distinct(), "benchmark-items")
+    long = with_seeds(items.filter(F.size("item") >= SHORT), "item", "item_place").filter(F.col("seed").isNotNull())
+    short = items.filter(F.size("item") < SHORT).withColumn("item_place", F.lit(0))
+    short = short.withColumn("seed", _seed("item", F.col("item_place"), WHOLE))
+    seeds = stage(long.unionByName(short).select("seed", "item_id", "item_place", "item").distinct(), "benchmark-seeds")
     return items, seeds
 
 
@@ -73,8 +81,8 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     met = train.join(side, "seed")
     # a hit that goes on from one on the place before is part of the same overlap
     follows = None
-    for n, mask in enumerate(MASKS):
-        same = (F.get("words", F.col("place") - 1 + p).eqNullSafe(F.get("item", F.col("item_place") - 1 + p))
+    for mask in MASKS:
+        same = (F.coalesce(F.get("words", F.col("place") - 1 + p) == F.get("item", F.col("item_place") - 1 + p), F.lit(False))
                 for p, on in enumerate(mask) if on == "1")
         before = F.lit(True)
         for equal in same:
@@ -96,8 +104,8 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     laid = laid.withColumn("sums", F.transform(
         F.sequence(F.lit(1), F.col("n") - F.col("width") + 1),
         lambda s: F.aggregate(F.slice("equal", s, F.col("width")), F.lit(0), lambda a, x: a + x)))
-    good = laid.withColumn("matched", F.array_max("sums")).filter(
-        100 * F.col("matched") >= MIN_EQUAL_PERCENT * F.col("width"))
+    share = F.when(F.col("width") < SHORT, 100).otherwise(MIN_EQUAL_PERCENT)
+    good = laid.withColumn("matched", F.array_max("sums")).filter(100 * F.col("matched") >= share * F.col("width"))
     first = F.col("shift") + F.col("from")
     return good.groupBy("id", "th", "item_id").agg(
         F.max("matched").alias("matched"), F.min(first).alias("first_word"), F.max(first + F.col("n") - 1).alias("last_word"))
@@ -106,9 +114,11 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each document: ``doc_id, contaminated, n_items, item_ids`` (sorted, joined by commas), ``matched``.
 
-    Null and empty texts hold no words and are clean, as are all documents for an empty benchmark. Items of
-    fewer than ``SPAN`` words are too short to tell from chance and are passed over. Repeated rows are judged
-    alike, and columns other than doc_id and text play no part.
+    An item is found where it overlaps the document by ``WINDOW`` words, or by all of a shorter item, of which
+    ``MIN_EQUAL_PERCENT`` are equal place by place; one of fewer than ``SHORT`` words where all are equal, and one of
+    fewer than ``MIN_ITEM`` is passed over. Null and empty texts hold no words and are clean, as are all documents for
+    an empty benchmark; a text of any length is searched whole. Repeated rows are judged alike, columns other than
+    doc_id and text play no part, and an empty table gives no row.
     """
     found = stage(hits(docs, benchmark), "overlaps").groupBy("id", "th").agg(
         F.sort_array(F.collect_set("item_id")).alias("items"), F.max("matched").alias("matched"))
@@ -120,6 +130,9 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without an overlap, with their own columns."""
+    """Documents without an overlap, with their own columns, whatever their names.
+
+    Null and empty texts stay, repeated rows stay or go together, an empty table gives no row.
+    """
     found = stage(hits(docs, benchmark).select("id", "th").distinct(), "contaminated")
     return with_key(docs).join(found, ["id", "th"], "left_anti").select("row.*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskmart.llm import decontaminate, line_templates, quality, url_filter
 
+from . import line_brute
 from .conftest import prose, sentence
 
 URLS = ["https://A.Example.org/es/1", "http://example.org/en/12?x#y", "http://example.org/en/2", "http://x.com/fr/", "http://x.com/de",
@@ -103,6 +105,64 @@ def test_substitutions_are_tolerated(spark, monkeypatch, edge_clashing, empty, b
     assert left.columns == edge_clashing.columns and left.count() == edge_clashing.count()
 
 
+def test_every_accepted_exchange_is_found(spark):
+    """All ways to exchange a quarter of the words of items and windows of 8 to 16 words, and one word more than that."""
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choice("bcdfghklmnp") for _ in range(7))
+    items, docs, want = [], [], set()
+    for n in range(8, 17):
+        item = [word() for _ in range(n)]
+        items.append((n, " ".join(item)))
+        ways = list(itertools.combinations(range(n), n // 4)) + rng.sample(list(itertools.combinations(range(n), n // 4 + 1)), 20)
+        for exchanged in ways:
+            text = [word() if i in exchanged else w for i, w in enumerate(item)]
+            docs.append((len(docs), " ".join([word() for _ in range(rng.randrange(4))] + text + [word()])))
+            want |= {len(docs) - 1} if len(exchanged) == n // 4 else set()
+    for n in (4, 5, 6, 7):
+        item = [word() for _ in range(n)]
+        items.append((100 + n, " ".join(item)))
+        docs.append((len(docs), f"{word()} {' '.join(item)} {word()}"))
+        want |= {len(docs) - 1} if n >= 5 else set()
+        docs.append((len(docs), " ".join([word(), *item[:-1], word()])))
+    found = decontaminate.report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc_id"] for r in found.filter("contaminated").collect()} == want
+
+
+@pytest.mark.parametrize("period", range(2, 9))
+def test_exchange_periods(spark, period):
+    """Every ``period``-th word of a long passage exchanged, alone and with its neighbour, against a 16-word window."""
+    rng = random.Random(period)
+    item = prose(rng, 12).split()[:60]
+    docs = [[("zz" if i % period in gone else w) for i, w in enumerate(item)] for gone in ({0}, {0, 1}, {period - 1})]
+    found = decontaminate.report(spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string"),
+                                 spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    plain = [[w.lower().strip(".") for w in d] for d in (item, *docs)]
+    most = [max(sum(a == b for a, b in zip(d[i:i + 16], plain[0][i:i + 16])) for i in range(45)) for d in plain[1:]]
+    assert {r["doc_id"]: r["contaminated"] for r in found.collect()} == {i: 4 * m >= 48 for i, m in enumerate(most)}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_line_dedup_equals_plain_python(spark, seed):
+    rng = random.Random(seed)
+    stock = [sentence(rng, rng.randrange(1, 8)) for _ in range(25)]
+    name = lambda: sentence(rng, 1)[:-1]
+    kinds = [lambda: f"User {rng.randrange(99)} has seen {name()} today", lambda: f"User has given {name()} to {name()}", lambda: rng.choice(stock),
+             lambda: rng.choice(stock[:5]), lambda: prose(rng, 1), lambda: "", lambda: f"{rng.randrange(50)} views"]
+    docs = [(i, "\n".join(rng.choice(kinds)() for _ in range(rng.randrange(1, 9)))) for i in range(160)]
+    copied = "\n".join(stock[:12])
+    docs += [(200 + i, "\n".join([*stock[:i % 12], prose(rng, 1), *stock[i % 12 + 1:12]]) if i % 2 else copied) for i in range(30)]
+    docs += [(1, None), (2, ""), (5, docs[5][1]), (6, "User 3 has seen him today")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, line_templates.report(df).collect()), key=str)
+    assert got == sorted(line_brute.report(docs), key=str) and any(r[2] for r in got)
+
+
+def test_line_dedup_of_the_sample_equals_plain_python(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = sorted(map(tuple, line_templates.report(df).collect()), key=str)
+    assert got == sorted(line_brute.report([tuple(r) for r in df.collect()]), key=str) and sum(r[2] for r in got) > 100
+
+
 def test_templates_recur_and_copies_stay(spark, edge, edge_clashing, empty, ordered):
     rng = random.Random(6)
     copied = "\n".join(prose(rng, 3) for _ in range(6))

@@ -9,6 +9,7 @@ import corpus_pipeline
 from riskmart.llm import langid, queries
 from riskmart.session import stage
 
+from . import line_brute
 from .conftest import CLASHING
 from .test_mixing import shared
 from .test_ngram_join import expected
@@ -49,13 +50,9 @@ def test_language_stage_keeps_the_recognised(kept):
     assert set(rows_of(kept[1])) == want and len(want) >= 0.97 * len(found)
 
 
-def test_line_stage_equals_sql(kept):
-    want = by_sql(kept[1], queries.OP9_SQL)
-    before, after = rows_of(kept[1]), rows_of(kept[2])
-    assert set(after) == set(want)
-    for i, r in after.items():
-        assert len(r["text"]) == want[i]["kept_chars"]
-        assert (r["text"] == before[i]["text"]) == (want[i]["n_dropped"] == 0)
+def test_line_stage_equals_plain_python(kept):
+    want = line_brute.report([(r["doc_id"], r["text"]) for r in kept[1].collect()])
+    assert {i: r["text"] for i, r in rows_of(kept[2]).items()} == {r[0]: r[3] for r in want}
 
 
 def test_near_duplicate_stage_keeps_the_first_of_each_class(kept):
