@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 
 from riskmart.llm import hashing
 from riskmart.llm.common import id_out, keyed
-from riskmart.llm.sentence_spans import short_key
 from riskmart.session import stage
 
 MATCH = 100
 ANCHOR = 32
 # A piece holds at most so many windows (periodic text has one anchor throughout).
 PIECE_WINDOWS = 128
+FLUSH_PIECES = 1 << 20
 # Suffixes in a batch of the index.
 BATCH = 1 << 16
 # One document in so many is looked at for anchors that are everywhere; one is if so many pieces have it there.
@@ -108,48 +108,56 @@ def pieces(data: np.ndarray, bounds: np.ndarray, hasher: hashing.RangeHash, comm
     return start, end - start, least[start], hasher.ranges(prefix, start, end + MATCH - 1), twice
 
 
+def _folded(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """The first of equal pieces under their hash, the others as repeats under a place of their own."""
+    k, s, ids, tks, q, loops = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(s)
+    twice = np.zeros(len(s), bool)
+    same = s[order][1:] == s[order][:-1]
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    at = np.flatnonzero(twice)
+    at = at[np.lexsort((q[at], tks[at], ids[at], s[at], k[at]))]
+    head = np.maximum.accumulate(np.where(np.concatenate(([True], (k[at][1:] != k[at][:-1]) | (s[at][1:] != s[at][:-1])))
+                                          if len(at) else np.zeros(0, bool), np.arange(len(at)), 0))
+    again = np.zeros(len(s), bool)
+    h = at[head]
+    again[at] = (ids[at] != ids[h]) | (tks[at] != tks[h]) | (q[at] != q[h])
+    k = np.where(again, hashing.mix(ids.astype(np.uint64) + q.astype(np.uint64) * hashing.constants(1, 43)[0]), k)
+    s = np.where(again, np.uint64(0), s)
+    for i in range(0, len(k), 1 << 17):
+        part = slice(i, i + (1 << 17))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k[part].view(np.int64)), pa.array(s[part].view(np.int64)), pa.array(again[part]),
+             pa.array(loops[part]), pa.array(ids[part]), pa.array(tks[part]), pa.array(q[part])],
+            ["k", "s", "again", "twice", "id", "tk", "q"])
+
+
 def _sender(common: np.ndarray):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``k, s, again, twice, id, tk, q``: the first of the equal pieces of this task, and the others as repeats.
+        """``k, s, again, twice, id, tk, q``: the first of the equal pieces held, and the others as repeats.
 
         ``q`` is the place in the text times 256 plus the number of windows less one.
         """
         hasher, known = hashing.RangeHash(), Common(common)
         parts: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for batch in batches:
             ids, tks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, _, data, bounds in hashing.blocks(batch.column(2)):
                 start, count, k, s, twice = pieces(data, bounds, hasher, known)
                 row = np.searchsorted(bounds, start, "right") - 1
                 parts.append((k, s, ids[first + row], tks[first + row], (start - bounds[row]) * 256 + count - 1, twice))
-        if not parts:
-            return
-        k, s, ids, tks, q, loops = (np.concatenate(x) for x in zip(*parts))
-        parts.clear()
-        order = np.argsort(s)
-        twice = np.zeros(len(s), bool)
-        same = s[order][1:] == s[order][:-1]
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
-        at = np.flatnonzero(twice)
-        at = at[np.lexsort((q[at], tks[at], ids[at], s[at], k[at]))]
-        head = np.maximum.accumulate(np.where(np.concatenate(([True], (k[at][1:] != k[at][:-1]) | (s[at][1:] != s[at][:-1])))
-                                              if len(at) else np.zeros(0, bool), np.arange(len(at)), 0))
-        again = np.zeros(len(s), bool)
-        h = at[head]
-        again[at] = (ids[at] != ids[h]) | (tks[at] != tks[h]) | (q[at] != q[h])
-        k = np.where(again, hashing.mix(ids.astype(np.uint64) + q.astype(np.uint64) * hashing.constants(1, 43)[0]), k)
-        s = np.where(again, np.uint64(0), s)
-        for i in range(0, len(k), 1 << 17):
-            part = slice(i, i + (1 << 17))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k[part].view(np.int64)), pa.array(s[part].view(np.int64)), pa.array(again[part]),
-                 pa.array(loops[part]), pa.array(ids[part]), pa.array(tks[part]), pa.array(q[part])],
-                ["k", "s", "again", "twice", "id", "tk", "q"])
+                held += len(k)
+                if held >= FLUSH_PIECES:  # folding is an economy, so what is held may leave at any time
+                    yield from _folded(parts)
+                    parts, held = [], 0
+        if held:
+            yield from _folded(parts)
 
     return send
 
 
-SENT = "k long, s long, again boolean, twice boolean, id long, tk int, q long"
+SENT = "k long, s long, again boolean, twice boolean, id long, tk long, q long"
 
 
 def common_anchors(rows: DataFrame) -> np.ndarray:
@@ -173,7 +181,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size > 4 << 20 or (out and i == batch.num_rows - 1):
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))],
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
                     ["k", "id", "tk", "p", "piece"])
                 size, out = 0, []
 
@@ -243,7 +251,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin, end = at[run], at[np.append(np.flatnonzero(run)[1:] - 1, len(at) - 1)]
         who = owner[begin]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids[who], pa.int64()), pa.array(tks[who], pa.int32()), pa.array(ps[who] + place[begin], pa.int64()),
+            [pa.array(ids[who], pa.int64()), pa.array(tks[who], pa.int64()), pa.array(ps[who] + place[begin], pa.int64()),
              pa.array(ps[who] + place[end] + MATCH, pa.int64())], ["id", "tk", "first", "last"])
 
     for batch in batches:
@@ -262,7 +270,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def covered(docs: DataFrame) -> DataFrame:
     """``id, tk, spans``: byte ranges (``first, last``) that strings of ``MATCH`` bytes cover which started earlier."""
-    rows = keyed(docs).select("id", short_key().alias("tk"), "text")
+    rows = keyed(docs).select("id", F.col("th").alias("tk"), "text")
     sent = rows.mapInArrow(_sender(common_anchors(rows)), SENT)
     me = F.struct("id", "tk", "q")
     piece, anchor = Window.partitionBy("k", "again", "s").orderBy("id", "tk", "q"), Window.partitionBy("k", "again")
@@ -270,9 +278,9 @@ def covered(docs: DataFrame) -> DataFrame:
               .withColumn("several", F.col("twice") | (F.min("s").over(anchor) != F.max("s").over(anchor))))
     found = stage(judged.filter("whole or several").select("k", "id", "tk", "q", "whole"), "suffix-pieces")
     wanted = found.filter("not whole").groupBy("id", "tk").agg(F.collect_set(F.struct("k", "q")).alias("wanted"))
-    apart = rows.join(wanted, ["id", "tk"]).mapInArrow(_cut, "k long, id long, tk int, p long, piece binary")
+    apart = rows.join(wanted, ["id", "tk"]).mapInArrow(_cut, "k long, id long, tk long, p long, piece binary")
     indexed = stage(apart.repartition("k").sortWithinPartitions("id", "tk", "p", "k").mapInArrow(
-        _index, "id long, tk int, first long, last long"), "suffix-matches")
+        _index, "id long, tk long, first long, last long"), "suffix-matches")
     place = F.shiftright("q", 8)
     whole = found.filter("whole").select("id", "tk", place.alias("first"),
                                          (place + F.col("q").bitwiseAND(F.lit(255)) + 1 + MATCH - 1).alias("last"))
@@ -313,7 +321,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     other than doc_id and text play no part; an empty table gives an empty result.
     """
     marks = stage(covered(docs), "suffix-marks")
-    rows = keyed(docs).select("id", short_key().alias("tk"), "text").join(marks, ["id", "tk"], "left")
+    rows = keyed(docs).select("id", F.col("th").alias("tk"), "text").join(marks, ["id", "tk"], "left")
     out = rows.select("id", "text", F.coalesce("spans", F.array().cast("array<struct<first:bigint,last:bigint>>")).alias("spans"))
     return out.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
                           ).withColumn("doc_id", id_out("doc_id"))

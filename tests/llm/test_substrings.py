@@ -7,34 +7,62 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from riskmart.llm import sentence_spans, suffix_dedup
+from pyspark.sql import functions as F
+
+from riskmart.llm import hashing, sentence_spans, suffix_dedup
+from riskmart.llm.common import keyed
 
 
 def key(row):
     return (row[0] is not None, row[0] or 0)
 
 
+def is_stop(word):
+    for _ in range(2):
+        for mark in sentence_spans.CLOSERS:
+            if word.endswith(mark) and len(word) > len(mark):
+                word = word[:-len(mark)]
+    return word.endswith(sentence_spans.STOPS)
+
+
+def cut(text):
+    """Byte ranges of the words of each sentence."""
+    b = (text or "").encode()
+    words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)]
+    hasher = hashing.RangeHash()
+    h = [int(x) for x in hashing.word_hashes(hasher, np.frombuffer(b, np.uint8), np.array([0, len(b)]))[0]]
+    natural = [i for i in range(len(words)) if i == 0 or is_stop(b[slice(*words[i - 1])].decode()) or b"\n" in b[words[i - 1][1]:words[i][0]]]
+    opens = set(natural)
+    for i in range(len(words)):
+        before, after = max(x for x in natural if x <= i), min([x for x in natural if x > i] + [len(words)])
+        if i - before >= sentence_spans.NEAR and after - i >= sentence_spans.NEAR:
+            if all(h[i] < h[i - k] and h[i] <= h[i + k] for k in range(1, sentence_spans.NEIGHBOURS + 1)):
+                opens.add(i)
+    parts = []
+    for i, w in enumerate(words):
+        if i in opens or len(parts[-1]) == sentence_spans.MAX_SENTENCE:
+            parts.append([])
+        parts[-1].append(w)
+    return b, parts
+
+
 def by_sentence(rows):
     """Expected (doc_id, text, n_sentences, n_removed); distinct doc_ids, in order."""
     seen, out = set(), []
     for doc_id, text in sorted(rows, key=key):
-        b = (text or "").encode()
-        words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)]
-        parts = []
-        for i, (s, e) in enumerate(words):
-            gap = b[words[i - 1][1]:s] if i else b""
-            if i == 0 or b[words[i - 1][1] - 1:words[i - 1][1]] in (b".", b"!", b"?") or b"\n" in gap or len(parts[-1]) == 12:
-                parts.append([])
-            parts[-1].append((s, e))
+        b, parts = cut(text)
         gone = set()
-        for i in range(len(parts) - 2):
-            span = tuple(tuple(b[s:e] for s, e in p) for p in parts[i:i + 3])
-            if sum(map(len, span)) >= 12:
-                if span in seen:
-                    gone |= {i, i + 1, i + 2}
-                seen.add(span)
+        for i in range(len(parts)):
+            for end in range(i + 3, len(parts) + 1):
+                span = tuple(tuple(b[s:e] for s, e in p) for p in parts[i:end])
+                if sum(map(len, span)) >= 12:
+                    if span in seen:
+                        gone |= set(range(i, end))
+                    seen.add(span)
+                    break
         starts = [p[0][0] for p in parts] + [len(b)]
         left = b[:starts[0]] + b"".join(b[starts[i]:starts[i + 1]] for i in range(len(parts)) if i not in gone)
         out.append((doc_id, None if text is None else left.decode(), len(parts), len(gone)))
@@ -72,7 +100,8 @@ def corpus(seed):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 7)))
     text = lambda n: " ".join(word() + rng.choice(["", "", "", ".", ".\n"]) for _ in range(n))
-    passages = [text(60) for _ in range(4)]
+    passages = [text(60), text(60), "\n".join(" ".join(word() for _ in range(3)) for _ in range(20)),
+                " ".join(word() + ("." + rng.choice(sentence_spans.CLOSERS) if i % 9 == 8 else "") for i in range(60))]
     rows = []
     for i in range(60):
         parts = [text(rng.randrange(1, 60)) for _ in range(rng.randrange(1, 4))]
@@ -105,7 +134,7 @@ def test_common_anchors_do_not_change_the_result(spark, monkeypatch):
     rows = corpus(3)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert len(suffix_dedup.common_anchors(suffix_dedup.keyed(df).select(
-        "id", suffix_dedup.short_key().alias("tk"), "text")))
+        "id", F.col("th").alias("tk"), "text")))
     got = suffix_dedup.dedup(df).drop("kept").collect()
     assert sorted(tuple(r) for r in got) == sorted(by_byte(rows))
 
@@ -141,3 +170,48 @@ def test_levels_merge_geometrically_and_find_all():
         seen |= set(batch)
         sizes = [len(x) for x in levels.levels]
         assert all(a > 2 * b for a, b in zip(sizes, sizes[1:])) and sum(sizes) == len(seen)
+
+
+KINDS = {"no stop": lambda i: "", "one stop": lambda i: "." if i == 30 else "", "lines of three": lambda i: "\n" if i % 3 == 2 else "",
+         "quoted": lambda i: ".”" if i % 10 == 9 else "", "sentences of 14": lambda i: "." if i % 14 == 13 else "", "commas": lambda i: "," if i % 6 == 5 else ""}
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_passages_of_51_words_are_found_at_every_offset(spark, kind):
+    """In front of the passage stand 0 to 24 words of a sentence that it goes on with, and other words follow."""
+    rng = random.Random(kind)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, found = [], 0
+    for n in range(25):
+        passage = " ".join(word() + KINDS[kind](i) for i in range(51)).replace("\n ", "\n")
+        front = lambda: "".join(f"{word()} " for _ in range(n))
+        rows += [(2 * n, f"{word()} {word()}. {passage} {word()}. "), (2 * n + 1, f"{word()} {word()}. {front()}{passage} {word()} {word()}")]
+    got = {r["doc_id"]: r for r in sentence_spans.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * n]["n_removed"] == 0 for n in range(25))
+    found = sum(got[2 * n + 1]["n_removed"] > 0 for n in range(25))
+    assert found >= 24
+
+
+def test_rows_that_share_a_doc_id_are_told_apart(spark):
+    """More texts without doc_id than 31 bits keep apart, nothing shared, nothing removed."""
+    texts = spark.range(120_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(
+        " ", *[F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{i}"))), 1, 8) for i in range(14)]).alias("text"))
+    assert keyed(texts).groupBy("id", "th").count().filter("count > 1").count() == 0
+    shared = keyed(texts).groupBy("id", F.col("th").bitwiseAND(F.lit(0x7FFFFFFF)).alias("short")).count().filter("count > 1").count()
+    assert shared > 0  # so there are pairs which 31 bits would take for one document
+    assert sentence_spans.dedup(texts).filter("n_removed > 0").count() == 0
+    assert suffix_dedup.dedup(texts).filter("n_removed > 0").count() == 0
+
+
+@pytest.mark.parametrize("flush", [1, 500])
+def test_flushing_does_not_change_the_result(spark, monkeypatch, ordered, flush):
+    rows = corpus(5)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for module, name in ((sentence_spans, "FLUSH_ROWS"), (suffix_dedup, "FLUSH_PIECES")):
+        want = ordered(module.dedup(df))
+        rows_of, batches = [], [pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])], ["id", "tk", "text"])]
+        monkeypatch.setattr(module, name, flush)
+        send = sentence_spans._sent if module is sentence_spans else suffix_dedup._sender(np.zeros(0, np.uint64))
+        rows_of = [len(b) for b in send(iter(batches * 3))]
+        assert len(rows_of) >= 3  # what was held left more than once
+        assert ordered(module.dedup(df)) == want
