@@ -11,6 +11,8 @@ mask compares only words that are equal. What the comparison accepts is therefor
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +20,13 @@ from riskmart.llm.common import id_out, keyed, with_key
 from riskmart.session import stage
 
 # The masks; 1 is compared, 0 ignored.
-MASKS = ("111011", "11001011", "11111", "101111", "11110001", "10100111", "11010101")
+MASKS = ("11101", "100111", "1101001")
 # A passage counts where, of WINDOW words laid on each other (or all of a shorter item), this share is equal.
 WINDOW = 16
 MIN_EQUAL_PERCENT = 75
-# Items of fewer than SHORT words must be there word by word, from their first word on, which the mask without gaps
-# finds; those of fewer than MIN_ITEM are too short to tell from chance.
+# Items of fewer than SHORT words must be there word by word; those of fewer than MIN_ITEM are too short to tell from
+# chance.
 SHORT, MIN_ITEM = 8, 5
-WHOLE = MASKS.index("1" * MIN_ITEM)
 TOKEN = r"[\p{L}\p{N}]+"
 # The seeds of the benchmark are broadcast up to this many bytes; beyond it the join shuffles.
 BROADCAST_BYTES = 64 << 20
@@ -41,10 +42,14 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens(text), lambda w: F.xxhash64(w))
 
 
-def _seed(hashes: str, i: Column, n: int) -> Column:
-    """Seed of mask ``n`` at place ``i``, null where the mask does not fit; each mask's seeds are its own."""
-    compared = [p for p, on in enumerate(MASKS[n]) if on == "1"]
-    return F.when(i + len(MASKS[n]) <= F.size(hashes), F.xxhash64(F.lit(n), *[F.get(hashes, i + p) for p in compared]))
+def _compared(mask: str) -> list[int]:
+    return [p for p, on in enumerate(mask) if on == "1"]
+
+
+def _seeds(hashes: str, i: Column) -> Column:
+    """One seed for each mask at place ``i``, null where the mask does not fit; each mask's seeds are its own."""
+    return F.array(*[F.when(i + len(mask) <= F.size(hashes), F.xxhash64(F.lit(n), *[F.get(hashes, i + p) for p in _compared(mask)]))
+                     for n, mask in enumerate(MASKS)])
 
 
 def with_seeds(rows: DataFrame, hashes: str, place: str) -> DataFrame:
@@ -54,7 +59,7 @@ def with_seeds(rows: DataFrame, hashes: str, place: str) -> DataFrame:
     """
     starts = F.when(F.size(hashes) >= MIN_ITEM, F.sequence(F.lit(0), F.size(hashes) - MIN_ITEM))
     runs = rows.withColumn(place, F.explode_outer(starts)).filter(F.col(place).isNotNull())
-    return runs.withColumn("seed", F.explode(F.array(*[_seed(hashes, F.col(place), n) for n in range(len(MASKS))])))
+    return runs.withColumn("seed", F.explode(_seeds(hashes, F.col(place))))
 
 
 def benchmark_seeds(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,10 +67,8 @@ def benchmark_seeds(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                                    token_hashes(F.col("text").cast("string")).alias("item"))
                   .filter(F.col("item_id").isNotNull() & (F.size("item") >= MIN_ITEM)).distinct(), "benchmark-items")
-    long = with_seeds(items.filter(F.size("item") >= SHORT), "item", "item_place").filter(F.col("seed").isNotNull())
-    short = items.filter(F.size("item") < SHORT).withColumn("item_place", F.lit(0))
-    short = short.withColumn("seed", _seed("item", F.col("item_place"), WHOLE))
-    seeds = stage(long.unionByName(short).select("seed", "item_id", "item_place", "item").distinct(), "benchmark-seeds")
+    seeds = stage(with_seeds(items, "item", "item_place").filter("seed IS NOT NULL")
+                  .select("seed", "item_id", "item_place", "item").distinct(), "benchmark-seeds")
     return items, seeds
 
 
@@ -82,11 +85,8 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # a hit that goes on from one on the place before is part of the same overlap
     follows = None
     for mask in MASKS:
-        same = (F.coalesce(F.get("words", F.col("place") - 1 + p) == F.get("item", F.col("item_place") - 1 + p), F.lit(False))
-                for p, on in enumerate(mask) if on == "1")
-        before = F.lit(True)
-        for equal in same:
-            before = before & equal
+        same = (F.coalesce(F.get("words", F.col("place") - 1 + p) == F.get("item", F.col("item_place") - 1 + p), F.lit(False)) for p in _compared(mask))
+        before = reduce(lambda x, y: x & y, same)
         follows = before if follows is None else follows | before
     starts = met.filter(~((F.col("place") > 0) & (F.col("item_place") > 0) & follows))
     # what is laid on each other, once for each shift. It is written, so that the comparison stays behind the

@@ -109,7 +109,7 @@ class ByteBpe:
         split = spec.get("pre_tokenizer") or {}
         added = [] if plain_special else [t["content"] for t in spec.get("added_tokens") or []]
         line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line_end = line_end[0]
+        self.line_end = line_end[0] if line_end else -1
         # These regular expressions end a token at each of the cuts, whatever stands on either side of it.
         self.cuts = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
                      and spec.get("normalizer") is None and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")

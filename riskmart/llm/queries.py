@@ -121,11 +121,9 @@ b AS (SELECT DISTINCT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\
   FROM benchmark WHERE item_id IS NOT NULL),
 dp AS (SELECT k, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5),
 bp AS (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b WHERE len(w) >= 5),
-masks(m, off, span) AS (VALUES (0, [0, 1, 2, 4, 5], 6), (1, [0, 1, 4, 6, 7], 8), (2, [0, 1, 2, 3, 4], 5), (3, [0, 2, 3, 4, 5], 6),
-  (4, [0, 1, 2, 3, 7], 8), (5, [0, 2, 5, 6, 7], 8), (6, [0, 1, 3, 5, 7], 8)),
+masks(m, off, span) AS (VALUES (0, [0, 1, 2, 4], 5), (1, [0, 3, 4, 5], 6), (2, [0, 1, 3, 6], 7)),
 ds AS (SELECT k, i, m, list_transform(off, lambda o: w[i + o]) AS seed FROM dp JOIN masks ON i + span - 1 <= len(w)),
-bs AS (SELECT item_id, i, m, list_transform(off, lambda o: w[i + o]) AS seed FROM bp JOIN masks ON i + span - 1 <= len(w)
-  WHERE len(w) >= 8 OR (m = 2 AND i = 1)),
+bs AS (SELECT item_id, i, m, list_transform(off, lambda o: w[i + o]) AS seed FROM bp JOIN masks ON i + span - 1 <= len(w)),
 laid AS (SELECT DISTINCT k, item_id, ds.i - bs.i AS shift FROM ds JOIN bs USING (m, seed)),
 pairs AS (SELECT k, item_id, shift, dw, bw, unnest(range(greatest(1, 1 - shift), least(len(bw), len(dw) - shift) + 1)) AS j,
     least(16, len(bw)) AS width
