@@ -240,7 +240,7 @@ def _stream_macro(b: Bound) -> DataFrame:
     _payloads(b).select(F.col("payload").alias("value")).write.text(f"{base}/in")
     target = VersionedTable(b.spark, f"{base}/macro")
     jobs.upsert_macro(b.spark, f"{base}/in", target, f"{base}/checkpoint").awaitTermination()
-    return target.read()
+    return target.read().drop("_at", "_file")
 
 
 add("stream_macro_upsert", _stream_macro, _LONG_SQL)

@@ -88,6 +88,13 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, *keys: str) -> DataF
     return existing.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 
+def newest_values(long: DataFrame) -> DataFrame:
+    """``obs_date, series, value, _at, _file``: of several values of one observation that of the newest file."""
+    age = F.struct("_at", "_file")
+    return long.groupBy("obs_date", "series").agg(F.max_by(F.struct("value"), age).alias("v"), F.max(age).alias("a")).select(
+        "obs_date", "series", "v.value", "a._at", "a._file")
+
+
 def load_since(existing: DataFrame | None, long: DataFrame, last_date: str) -> tuple[str, DataFrame | None]:
     """("load", table with the newer observations) or ("skip", table as it is) when there are none."""
     fresh = since(long, last_date)

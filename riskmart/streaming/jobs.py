@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskmart import constants as K
 from riskmart.functions.scalars import record_key
 from riskmart.operators.quality import domain_violations, validate_records
-from riskmart.sources.macro_json import PAYLOAD, observations, to_numbers, upsert
+from riskmart.sources.macro_json import PAYLOAD, newest_values, observations, to_numbers
 from riskmart.sources.raw_csv import null_tokens, read_text_stream, split_types
 from riskmart.sources.tables import VersionedTable
 
@@ -40,17 +40,17 @@ def upsert_macro(spark: SparkSession, source: str, target: VersionedTable, check
                  files_per_batch: int = 1000) -> StreamingQuery:
     """New payload files into the (obs_date, series, value) table; the newest file's value wins.
 
-    Payloads are one JSON document per line. Upserting a batch a second time changes nothing, so a
-    replayed batch is harmless.
+    The table keeps the time and name of the file each value came from (``_at, _file``), so a file that comes in a later
+    batch and is older changes nothing it has no newer value for. Payloads are one JSON document per line. Upserting a
+    batch a second time changes nothing, so a replayed batch is harmless.
     """
     payloads = (spark.readStream.schema(PAYLOAD).option("maxFilesPerTrigger", files_per_batch).json(source)
                 .withColumn("_at", F.col("_metadata.file_modification_time"))
                 .withColumn("_file", F.col("_metadata.file_name")))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = observations(batch, "_at", "_file")
-        newest = rows.groupBy("obs_date", "series").agg(F.max_by("value", F.struct("_at", "_file")).alias("value"))
-        target.replace(lambda current: upsert(current, to_numbers(newest), "obs_date", "series"))
+        rows = to_numbers(newest_values(observations(batch, "_at", "_file")))
+        target.replace(lambda current: rows if current is None else newest_values(current.unionByName(rows)))
 
     return payloads.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import uuid
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import functions as F
 
 from riskmart.operators import history as hi
-from riskmart.sources.tables import VersionedTable
+from riskmart.sources.tables import LayerStore, VersionedTable
 
 COLS = ["seg", "score"]
 
@@ -51,4 +54,36 @@ def test_versions_are_swapped_not_overwritten(spark, tmp_path):
     (tmp_path / "hist" / "v00000007").mkdir()  # an unfinished version is not current
     assert table.latest() == 1
     table.prune(keep=1)
-    assert table.read().count() == 2 and not (tmp_path / "hist" / "v00000000").exists()
+    assert table.read().count() == 2 and not list((tmp_path / "hist").glob("v00000000*"))
+
+
+def test_writers_at_once_lose_no_change(spark, tmp_path):
+    tables = [VersionedTable(spark, str(tmp_path / "shared")) for _ in range(3)]
+
+    def write(table, who):
+        for n in range(3):
+            table.replace(lambda cur, n=n: load(spark, (who * 10 + n, "LOW", 0.1)) if cur is None else cur.union(load(spark, (who * 10 + n, "LOW", 0.1))))
+
+    with ThreadPool(3) as pool:
+        pool.starmap(write, [(t, i) for i, t in enumerate(tables)])
+    assert sorted(r["id"] for r in tables[0].read().collect()) == sorted(i * 10 + n for i in range(3) for n in range(3))
+    assert tables[1].latest() == 8 and [tables[2].read(v).count() for v in range(9)] == list(range(1, 10))
+
+
+def test_a_dead_writers_claim_is_passed_over(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(lambda cur: load(spark, (1, "LOW", 0.1)))
+    (tmp_path / "t" / "_commits" / "00000001").write_text("")
+    assert table.latest() == 0
+    table.replace(lambda cur: cur.union(load(spark, (2, "LOW", 0.1))), patience=0.2)
+    assert table.latest() == 2 and table.read().count() == 2
+
+
+def test_history_in_a_catalog(spark, tmp_path):
+    name = f"risk{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name}_snapshots LOCATION '{tmp_path}/snapshots'")
+    store = LayerStore(spark, database=name)
+    store.versioned("SNAPSHOTS", "h").replace(lambda cur: hi.scd2_start(load(spark, (1, "LOW", 0.1)), "id", COLS, "2024-01-01"))
+    after = store.versioned("snapshots", "h").replace(lambda cur: hi.scd2_apply(cur, load(spark, (1, "HIGH", 0.1)), "id", COLS, "2024-01-02"))
+    assert after.count() == 2 and after.filter("is_current").first()["seg"] == "HIGH"
+    spark.sql(f"DROP DATABASE {name}_snapshots")

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +39,17 @@ def test_macro_upsert_takes_the_newest_value(spark, tmp_path):
     src.mkdir()
     table = VersionedTable(spark, str(tmp_path / "macro"))
 
-    def arrive(name, *obs):
+    def arrive(name, *obs, hours_ago=0):
         (src / name).write_text(json.dumps({"observations": list(obs)}) + "\n")
+        os.utime(src / name, (time.time() - 3600 * hours_ago,) * 2)
         jobs.upsert_macro(spark, str(src), table, str(tmp_path / "cp")).awaitTermination()
         return sorted(map(tuple, table.read().select("obs_date", "series", "value").collect()))
 
     assert arrive("1.json", {"d": "2024-01-01", "X": {"v": "1"}}, {"d": "2024-01-02", "X": {"v": "2"}}) == [("2024-01-01", "X", 1.0), ("2024-01-02", "X", 2.0)]
+    late = {"d": "2024-01-02", "X": {"v": "9"}, "Z": {"v": "4"}}
     assert arrive("2.json", {"d": "2024-01-02", "X": {"v": "5"}, "Y": {"v": "7"}}) == [("2024-01-01", "X", 1.0), ("2024-01-02", "X", 5.0), ("2024-01-02", "Y", 7.0)]
+    # an older file that comes later adds what is new and takes nothing back
+    assert arrive("3.json", late, hours_ago=5) == [("2024-01-01", "X", 1.0), ("2024-01-02", "X", 5.0), ("2024-01-02", "Y", 7.0), ("2024-01-02", "Z", 4.0)]
 
 
 def test_alert_stream_equals_batch(spark, tmp_path):
