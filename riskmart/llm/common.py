@@ -24,7 +24,7 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def keyed(docs: DataFrame, *keep: str) -> DataFrame:
+def keyed(docs: DataFrame, *keep: str | Column) -> DataFrame:
     """``id, th, text`` and the columns ``keep``: a key without nulls, and the text.
 
     ``id`` is doc_id (null: the smallest long), ``th`` a hash of the text that keeps rows apart which share

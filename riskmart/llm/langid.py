@@ -233,7 +233,7 @@ def pool(net: Network, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray
 def predict(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score``, the pooled probability of that language.
 
-    ``und`` and 0 for null text, text without a letter, and all texts when there was nothing to learn from.
+    Of languages equally probable the first by name is taken. ``und`` and 0 for null text, text without a letter, and all texts when there was nothing to learn from.
     Repeated rows get equal predictions; columns other than the text play no part; an empty table gives an
     empty result. Very long texts are many pieces of one batch of lanes after the other.
     """
@@ -276,7 +276,11 @@ def identify(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """Documents, with their own columns, whose language is known with a probability of ``min_score``."""
+    """Documents, with their own columns, whatever their names, whose language is known with a probability of ``min_score``.
+
+    Null and empty texts and those without a letter go; repeated rows stay or go together; of languages equally probable
+    the first by name is taken. With nothing to learn from, as in an empty table, no row is left.
+    """
     net = fit(docs)
     rows = with_key(docs).select("row", F.col("row.text").alias("text"))
     found = predict(rows, net, "row")

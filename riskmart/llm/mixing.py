@@ -180,7 +180,8 @@ def choose(docs: DataFrame, seed: int = SEED) -> DataFrame:
     The ``extra`` documents of a (source, length) are those first by hash. A group may hold much of the table,
     so its ranks are put together from about sqrt(n) hash buckets of about sqrt(n) rows, never in one task.
     Null text has no words, null source is a source of its own; rows equal in doc_id and text tie, and any of
-    them may be the ones taken. Columns other than doc_id, text and source play no part.
+    them may be the ones taken. Columns other than doc_id, text and source play no part. A text of any length counts
+    whole, and an empty table gives no row.
     """
     rows = stage(measured(docs, seed), "mix-rows")
     group = ["s", "sn", "size"]

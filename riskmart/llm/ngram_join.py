@@ -221,7 +221,12 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Documents with their own columns: the first of each class, and all without a word."""
+    """Documents with their own columns, whatever their names: the first of each class, and all without a word.
+
+    The first is the one of smallest doc_id, a null one before all, then of smallest text hash. Null and empty texts
+    have no word and are nobody's copy; rows equal in doc_id and text are one document, of which one row is left. A
+    text of any length is compared whole, and an empty table gives no row.
+    """
     documents, linked = join(docs)
     kept = stage(documents.join(linked, "node", "left").filter(
         F.col("node").isNull() | F.struct("id", "th").eqNullSafe(F.coalesce("root", "node"))).select("id", "th").distinct(), "join-kept")

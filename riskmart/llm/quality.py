@@ -83,7 +83,11 @@ def judge(docs: DataFrame, *keep: str, max_lost_percent: int = MAX_LOST_PERCENT)
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """Documents that pass, with their own columns and the text of the passing lines."""
+    """Documents that pass, with their own columns, whatever their names, and the text of the passing lines.
+
+    Null and empty texts have too few words and go; repeated rows stay or go together; a text of any length is judged
+    whole, and an empty table gives no row.
+    """
     packed = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     fields = [F.col("cleaned").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return judge(packed, "row").filter("kept").select(*fields)

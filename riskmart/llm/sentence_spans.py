@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm import hashing
-from riskmart.llm.common import id_out, keyed
+from riskmart.llm.common import keyed
 from riskmart.session import stage
 
 SPAN = 3
@@ -180,11 +180,11 @@ def dedup(docs: DataFrame) -> DataFrame:
     """A row for each document: ``doc_id, text`` (what is left), ``n_sentences, n_removed``.
 
     The earliest document that holds a span keeps it. Null text stays null, with no sentences; a text whose
-    sentences all go is empty; texts of any length are searched whole. Rows equal in doc_id and text are one document, so neither is the other's
-    repeat; columns other than these play no part; an empty table gives an empty result.
+    sentences all go is empty; texts of any length are searched whole. Rows equal in doc_id and text are one
+    document, so neither is the other's repeat; columns other than these play no part; an empty table gives an
+    empty result.
     """
     marks = stage(repeated(docs), "spans")
-    rows = keyed(docs).select("id", F.col("th").alias("tk"), "text").join(marks, ["id", "tk"], "left")
-    out = rows.select("id", "text", F.coalesce("spans", F.array().cast("array<int>")).alias("spans")).mapInArrow(
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id")).withColumnRenamed("th", "tk").join(marks, ["id", "tk"], "left")
+    return rows.select("doc_id", "text", F.coalesce("spans", F.array().cast("array<int>")).alias("spans")).mapInArrow(
         _cut, "doc_id long, text string, n_sentences long, n_removed long")
-    return out.withColumn("doc_id", id_out("doc_id"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm import hashing
-from riskmart.llm.common import id_out, keyed
+from riskmart.llm.common import keyed
 from riskmart.session import stage
 
 MATCH = 100
@@ -318,10 +318,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     Texts are UTF-8 bytes, null is empty; strings are judged on the input, and earlier means a smaller doc_id
     or, in one document, an earlier start. Documents that share a doc_id are in the order of a hash of their
     text; rows equal in both are one document. ``kept`` may end within a character, so it is binary. Columns
-    other than doc_id and text play no part; an empty table gives an empty result.
+    other than doc_id and text play no part; an empty table gives an empty result, and texts of any length are
+    searched whole.
     """
     marks = stage(covered(docs), "suffix-marks")
-    rows = keyed(docs).select("id", F.col("th").alias("tk"), "text").join(marks, ["id", "tk"], "left")
-    out = rows.select("id", "text", F.coalesce("spans", F.array().cast("array<struct<first:bigint,last:bigint>>")).alias("spans"))
-    return out.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-                          ).withColumn("doc_id", id_out("doc_id"))
+    rows = keyed(docs, F.col("doc_id").cast("long").alias("doc_id")).withColumnRenamed("th", "tk").join(marks, ["id", "tk"], "left")
+    out = rows.select("doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<first:bigint,last:bigint>>")).alias("spans"))
+    return out.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -130,7 +130,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], url: str = "url",
     """Rows of ``pages`` as ``row``, with ``host``, ``path``, ``rule`` (name, or null) and ``verdict``.
 
     A null URL, an empty one and one without ``://`` have empty host and path and are allowed unless a rule
-    matches the empty text. Repeated rows are judged alike. An empty table gives an empty result.
+    matches the empty text. Repeated rows are judged alike, other columns of any name pass through in ``row``, and a
+    URL of any length is judged whole. An empty table gives an empty result.
     """
     parts = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),
                          host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
@@ -145,5 +146,5 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], url: str = "url",
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[UrlRule] = (*QUERY_RULES, *METHOD_RULES), url: str = "url") -> DataFrame:
-    """The allowed rows of ``pages`` with their own columns."""
+    """The allowed rows of ``pages`` with their own columns, whatever their names; edge cases as in :func:`judge_urls`."""
     return judge_urls(pages, rules, url).filter(F.col("verdict") == "allow").select("row.*")

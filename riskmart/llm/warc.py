@@ -60,7 +60,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
     Rows that tie on the largest page_id are all kept; a null page_id is smaller than any, and payloads that
     only rows without page_id have are all kept, as are payloads of fewer than ``min_bytes`` bytes. The groups
-    are counted before the join, so a group that holds much of the table is one row of its side.
+    are counted before the join, so a group that holds much of the table is one row of its side. Columns other than
+    page_id, url and html are not read, a payload of any length is kept whole, and an empty table gives no row.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
@@ -208,7 +209,8 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool =
     """Records of the archives in ``files`` (``path, bytes``), by byte ranges of ``split_bytes``.
 
     The digest of a response is that of the bytes read (``digest_holds`` says whether the header agrees),
-    a revisit has the digest and length its headers state. Damaged members are passed over.
+    a revisit has the digest and length its headers state. Damaged members are passed over. A task holds one record
+    of any length and a batch of rows; a manifest without files gives no row.
     """
     ranges = files.filter("bytes > 0").select("path", "bytes", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))

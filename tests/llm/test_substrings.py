@@ -192,6 +192,12 @@ def test_passages_of_51_words_are_found_at_every_offset(spark, kind):
     assert found >= 24
 
 
+def test_the_smallest_doc_id_is_not_null(spark):
+    df = spark.createDataFrame([(-(2**63), "one two"), (None, "three")], "doc_id long, text string")
+    for module in (sentence_spans, suffix_dedup):
+        assert sorted((r["doc_id"] for r in module.dedup(df).collect()), key=str) == [-(2**63), None]
+
+
 def test_rows_that_share_a_doc_id_are_told_apart(spark):
     """More texts without doc_id than 31 bits keep apart, nothing shared, nothing removed."""
     texts = spark.range(120_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(
