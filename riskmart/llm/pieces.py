@@ -13,11 +13,13 @@ import functools
 import json
 import os
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 
 MEMO_PIECES = 500_000
+BYTE_PIECES = 900_000  # their ids take less room than what else is kept of a piece
 MEMO_BYTES = 64
 LINES = 4096
 _MARKS = b".,;:!?"
@@ -83,12 +85,14 @@ def gather(index: np.ndarray, begin: np.ndarray, values: np.ndarray) -> tuple[np
 
 
 class Memo(dict):
-    """Results of short pieces; emptied when it holds ``MEMO_PIECES``."""
+    """Results of short pieces; emptied when it holds too many."""
 
-    def trim(self, fresh: list[bytes]) -> None:
-        """Forget the long ones among ``fresh``, and everything when there is too much."""
-        if len(self) > MEMO_PIECES:
+    def trim(self, fresh: list[bytes], most: int | None = None, keep: Sequence[bytes] = ()) -> None:
+        """Forget the long ones among ``fresh``, and everything but ``keep`` when there is too much."""
+        if len(self) > (most or MEMO_PIECES):
+            kept = {key: self[key] for key in keep if len(key) <= MEMO_BYTES}
             self.clear()
+            self.update(kept)
             return
         for key in fresh:
             if len(key) > MEMO_BYTES:
@@ -136,17 +140,19 @@ class ByteBpe:
         out.update(zip(rest, self.library([p.decode("utf-8", "replace") for p in rest])))
         return [out[p] for p in pieces]
 
-    def known(self, pieces: list[bytes]) -> list[bytes]:
-        fresh = [p for p in pieces if p not in self.memo]
+    def known(self, block: Distinct) -> list[bytes]:
+        """Ids of the block's pieces. What stays in a full memo is what the block has more than once."""
+        fresh = [p for p in block.pieces if p not in self.memo]
         self.memo.update(zip(fresh, self.pieces(fresh)))
-        found = [self.memo[p] for p in pieces]
-        self.memo.trim(fresh)
+        found = [self.memo[p] for p in block.pieces]
+        often = np.flatnonzero(np.bincount(block.index, minlength=len(found)) > 1) if len(self.memo) > BYTE_PIECES else ()
+        self.memo.trim(fresh, BYTE_PIECES, [block.pieces[i] for i in often])
         return found
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after another, equal to those of :meth:`library`; and where each text's begin, with the end."""
         block = Distinct(data, bounds, whole=not self.cuts)
-        found = self.known(block.pieces)
+        found = self.known(block)
         begin = np.concatenate(([0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))) // 4
         ids, at = gather(block.index, begin, np.frombuffer(b"".join(found), "<u4"))
         return ids, at[block.first]

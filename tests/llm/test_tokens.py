@@ -33,7 +33,7 @@ def texts(n: int = 400) -> list[str]:
 
 @pytest.mark.parametrize("path, plain", [(BYTE, False), (BYTE, True), (WORDS, False)])
 def test_pieces_give_the_ids_of_whole_texts(path, plain, monkeypatch):
-    monkeypatch.setattr(pieces, "MEMO_PIECES", 50)
+    monkeypatch.setattr(pieces, "BYTE_PIECES", 50)
     monkeypatch.setattr(pieces, "LINES", 7)
     bpe = pieces.ByteBpe(path, plain)
     assert bpe.cuts == (path == BYTE)
