@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.operators import features as feat
 from riskmart.operators.history import RISK_COLUMNS, RISK_KEY, scd2_apply, scd2_start, snapshot_source
@@ -13,6 +13,8 @@ from riskmart.operators.quality import check_all, require_passed, require_rows
 from riskmart.operators.staging import STAGING
 from riskmart.plans import rulesets
 from riskmart.plans.marts import credit_fact, portfolio_summary, training_table
+from riskmart.sources.raw_csv import load_delivery
+from riskmart.sources.schemas import FILES, require_schema
 from riskmart.sources.tables import LayerStore
 
 FACT, SUMMARY, TRAINING = "mart_credit_application_fact", "mart_portfolio_summary", "ml_features_training"
@@ -45,6 +47,27 @@ def reference_keys(fact: DataFrame) -> dict[str, DataFrame]:
     return {"stg_application_train": fact.select("applicant_id")}
 
 
+class DeliveryError(RuntimeError):
+    pass
+
+
+def run_delivery(spark: SparkSession, folder: str, raw: str, store: LayerStore, now: datetime | None = None, **options) -> dict[str, DataFrame]:
+    """The delivered files of ``folder`` to all layers.
+
+    Every file is loaded into ``raw`` on its own with its load time, rows that break the schema go to quarantine beside
+    their table. A file that cannot be loaded stops the run, which names it, before any layer is built; the tables of
+    the others are there by then. Options as in :func:`run_layers`.
+    """
+    report = load_delivery(spark, folder, raw, now)
+    failed = report.filter("status <> 'ok'").orderBy("table").collect()
+    if failed:
+        raise DeliveryError("; ".join(f"{r['table']}: {r['error']}" for r in failed))
+    tables = {t: spark.read.parquet(f"{raw}/{t}") for t in FILES}
+    for name, df in tables.items():
+        require_schema(df, name)
+    return run_layers(tables, store, now, **options)
+
+
 def run_layers(raw: Mapping[str, DataFrame], store: LayerStore, now: datetime | None = None,
                raw_rows_at_least: int = 300_000, checks: bool = True, stop_on_failure: bool = True,
                snapshot_at: str | None = None) -> dict[str, DataFrame]:

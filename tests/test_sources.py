@@ -137,6 +137,17 @@ def test_delivered_files(spark, tmp_path):
         rc.read_delivered_csv(spark, str(tmp_path / "in.csv"), schemas.raw_schema("bureau_balance"))
 
 
+def test_a_delivery_with_missing_files_stops_before_the_layers(spark, tmp_path):
+    from riskmart.plans import run
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bureau_balance.csv").write_text("STATUS,SK_ID_BUREAU,MONTHS_BALANCE\nC,1,-1\n")
+    store = LayerStore(spark, str(tmp_path / "layers"))
+    with pytest.raises(run.DeliveryError, match="application_train: .*; boc_macro: .*; bureau: "):
+        run.run_delivery(spark, str(tmp_path / "in"), str(tmp_path / "raw"), store)
+    assert spark.read.parquet(str(tmp_path / "raw" / "bureau_balance")).count() == 1 and not (tmp_path / "layers").exists()
+
+
 def test_raw_schemas(spark):
     assert set(schemas.DDL) == set(schemas.FILES) and len(schemas.raw_schema("application_train")) == 28
     good = spark.createDataFrame([(1, 2, "C", 9)], "SK_ID_BUREAU bigint, months_balance int, status string, extra int")
