@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskmart import constants as K
 from riskmart.functions.scalars import count_where, ratio, round_half_up
 from riskmart.operators.ranking import long_values, with_position, with_running_total
+from riskmart.session import stage
 
 
 def score_curve(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
@@ -94,3 +95,36 @@ def population_stability(expected: DataFrame, actual: DataFrame, edges: Mapping[
     # bins empty on both sides contribute nothing: their two floors are equal
     return joined.groupBy("feature").agg(F.sum((pa - pe) * F.log(pa / pe)).alias("_psi")).select(
         "feature", round_half_up("_psi", 6).alias("psi"), (F.col("_psi") > retrain_above).alias("retrain"))
+
+
+def stability_by_period(df: DataFrame, period: str, edges: Mapping[str, Sequence[float]], floor: float = 1e-4,
+                        retrain_above: float = K.PSI_RETRAIN) -> DataFrame:
+    """PSI of each feature in each period against the earliest one: ``period, feature, psi, retrain``.
+
+    All bins of all features are counted in one grouping by period, without a row per feature; the earliest period's
+    counts, a few numbers, become literals. An empty bin counts with the floor share. NULL values form no bin and rows
+    without a period are left out; a feature without values in one of the two periods has no PSI there.
+    """
+    counts = df.filter(F.col(period).isNotNull()).groupBy(F.col(period).alias("period")).agg(*[
+        F.array(*[count_where(F.col(f).isNotNull() & (_bin(F.col(f), cuts) == k)) for k in range(len(cuts) + 1)]).alias(f)
+        for f, cuts in edges.items()])
+    counts = stage(counts, "period-counts")
+    first = counts.orderBy("period").first()
+    if first is None:
+        return counts.select("period", F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("psi"),
+                             F.lit(None).cast("boolean").alias("retrain"))
+
+    def psi(feature: str) -> Column:
+        base, total = first[feature], sum(first[feature])
+        share = F.aggregate(feature, F.lit(0).cast("long"), lambda s, x: s + x)
+        out = F.lit(0.0)
+        for k, n in enumerate(base):
+            e = F.lit(max(n / total, floor) if total else None).cast("double")
+            a = F.greatest(ratio(F.col(feature)[k], share), F.lit(floor))
+            out = out + (a - e) * F.log(a / e)
+        return F.when(share > 0, out)
+
+    rows = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), psi(f).alias("psi")) for f in edges])).alias("r")
+    return counts.filter(F.col("period") != first["period"]).select("period", rows).select(
+        "period", "r.feature", round_half_up("r.psi", 6).alias("psi"), (F.col("r.psi") > retrain_above).alias("retrain")).filter(
+        F.col("psi").isNotNull())

@@ -15,6 +15,7 @@ from riskmart.registry.bound import Bound, cast_long, rounded
 from riskmart.registry.catalog import add
 from riskmart.registry.sql import SCORE_TERMS, age, div, income, ladder, rnd
 from riskmart.session import scratch_path
+from riskmart.sources.credit_binding import AS_OF
 
 FACT = "mart_credit_application_fact"
 _BAD = "COUNT(*) FILTER (WHERE default_flag = 1)"
@@ -234,6 +235,34 @@ def _psi_sql(f: str, edges) -> str:
 
 add("population_stability", _psi, " UNION ALL ".join(_psi_sql(f, e) for f, e in _PSI.items()))
 
+
+def _monthly(b: Bound) -> DataFrame:
+    """PSI by the month in which an applicant's last earlier application was decided."""
+    decided = b.raw["previous_application"].groupBy(F.col("sk_id_curr").alias("applicant_id")).agg(F.max("days_decision").alias("d"))
+    month = F.date_format(F.date_add(F.lit(AS_OF).cast("date"), F.col("d")), "yyyy-MM")
+    return mt.stability_by_period(b.fact.join(decided, "applicant_id").withColumn("month", month), "month", _PSI)
+
+
+def _monthly_sql(f: str, edges) -> str:
+    return f"""SELECT month AS period, '{f}' AS feature, {rnd('SUM((a - e) * LN(a / e))', 6)} AS psi, SUM((a - e) * LN(a / e)) > 0.25 AS retrain FROM (
+      SELECT g.month, GREATEST(CAST(COALESCE(c.n, 0) AS DOUBLE) / SUM(COALESCE(c.n, 0)) OVER (PARTITION BY g.month), CAST(0.0001 AS DOUBLE)) AS a,
+        GREATEST(CAST(COALESCE(b.n, 0) AS DOUBLE) / SUM(COALESCE(b.n, 0)) OVER (PARTITION BY g.month), CAST(0.0001 AS DOUBLE)) AS e
+      FROM (SELECT DISTINCT month, bin FROM m{f}, (SELECT unnest(range({len(edges) + 1})) AS bin)) g
+      LEFT JOIN c{f} c ON c.month = g.month AND c.bin = g.bin
+      LEFT JOIN c{f} b ON b.month = (SELECT MIN(month) FROM m{f}) AND b.bin = g.bin)
+    WHERE month <> (SELECT MIN(month) FROM m{f}) GROUP BY month"""
+
+
+def _month_tables(f: str, edges) -> str:
+    place = " + ".join(f"CASE WHEN {f} > {e} THEN 1 ELSE 0 END" for e in edges)
+    return f"""m{f} AS (SELECT strftime(DATE '{AS_OF}' + d, '%Y-%m') AS month, {f} FROM {FACT} JOIN
+      (SELECT sk_id_curr, MAX(days_decision) AS d FROM previous_application GROUP BY 1) ON sk_id_curr = applicant_id),
+    c{f} AS (SELECT month, {place} AS bin, COUNT(*) AS n FROM m{f} WHERE {f} IS NOT NULL GROUP BY ALL)"""
+
+
+add("stability_by_month", _monthly, f"SELECT * FROM (WITH {', '.join(_month_tables(f, e) for f, e in _PSI.items())} "
+    + " UNION ALL ".join(_monthly_sql(f, e) for f, e in _PSI.items()) + ") WHERE psi IS NOT NULL AND isfinite(psi)")
+
 # ---- imputation, scoring, explanation -------------------------------------------------------------
 
 _GAPPED = ("annuity_to_income_ratio", "ext_source_1", "ext_source_2", "ext_source_3", "years_employed")
