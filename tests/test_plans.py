@@ -98,3 +98,17 @@ def test_whole_run(spark, tmp_path):
     assert out["check_results"].count() == 223
     again = run.run_layers(raw, store, raw_rows_at_least=1, checks=False, snapshot_at="2024-01-03")
     assert again["snap_application_risk"].count() == fact.count()  # nothing changed, nothing added
+
+
+def test_checks_and_gates_build_only_the_tables_they_read(spark, monkeypatch):
+    """Neither the staging checks nor the gates need the fact, and the gates need one roll-up."""
+    import __spark_entry__ as entry
+    from riskmart.registry import bound
+
+    wrote, real = [], bound.stage
+    monkeypatch.setattr(bound, "_written", {})
+    monkeypatch.setattr(bound, "stage", lambda df, name: wrote.append(name) or real(df, name))
+    assert entry.queries()["row_count_gates"](spark, SF).count() == 3
+    assert wrote == ["int_bureau_features"]
+    assert entry.queries()["check_staging"](spark, SF).count() > 0
+    assert wrote == ["int_bureau_features", "reference-keys"]
