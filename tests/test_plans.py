@@ -112,3 +112,16 @@ def test_checks_and_gates_build_only_the_tables_they_read(spark, monkeypatch):
     assert wrote == ["int_bureau_features"]
     assert entry.queries()["check_staging"](spark, SF).count() > 0
     assert wrote == ["int_bureau_features", "reference-keys"]
+
+
+def test_history_writes_no_fact_and_no_whole_roll_up(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from riskmart.registry import bound
+
+    wrote, real = {}, bound.stage
+    monkeypatch.setattr(bound, "_written", {})
+    monkeypatch.setattr(bound, "stage", lambda df, name: wrote.setdefault(name, df.columns) and real(df, name))
+    assert entry.queries()["risk_history_as_of"](spark, SF).count() > 0
+    assert all(len(c) == 2 for n, c in wrote.items() if n.endswith("-rate"))
+    assert sorted(wrote) == ["int_bureau_features-rate", "int_credit_card_features-rate", "int_installment_features-rate",
+                             "int_previous_application_features-rate", "risk-2024-01-01", "risk-2024-01-02"]
