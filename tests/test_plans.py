@@ -125,3 +125,13 @@ def test_history_writes_no_fact_and_no_whole_roll_up(spark, monkeypatch):
     assert all(len(c) == 2 for n, c in wrote.items() if n.endswith("-rate"))
     assert sorted(wrote) == ["int_bureau_features-rate", "int_credit_card_features-rate", "int_installment_features-rate",
                              "int_previous_application_features-rate", "risk-2024-01-01", "risk-2024-01-02"]
+
+
+def test_instalment_join_moves_no_keys_of_parts_and_suppliers(spark, no_broadcast):
+    from riskmart.sources.credit_binding import installments_payments
+
+    text = plan(installments_payments(spark, SF))
+    moved = text[text.index("SortMergeJoin"):].split("Exchange hashpartitioning(l_orderkey")[1]
+    assert "shift" in moved.split("FileScan")[0]
+    kept = text[text.index("SortMergeJoin"):].split("Project [l_orderkey")[1].split("\n")[0]
+    assert "AS shift" in kept and not kept.split(" AS shift")[-1].count("l_suppkey")
