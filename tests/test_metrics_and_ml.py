@@ -175,6 +175,23 @@ def test_tree_contributions_are_exact_shapley_values(spark, signal):
         assert 1 / (1 + math.exp(-margin)) == pytest.approx(r["score"], abs=1e-9)
 
 
+def test_trees_are_fitted_in_as_many_tasks_as_the_rows_need(spark, signal, monkeypatch):
+    spread, tracker = signal.repartition(12).localCheckpoint(), spark.sparkContext.statusTracker()
+
+    def tasks(group):
+        spark.sparkContext.setJobGroup(group, group)
+        ml.fit_trees(spread, SHORT, n_trees=3, depth=3)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        return sorted(s.numTasks for s in stages if s is not None)
+
+    few = tasks("few-rows")
+    assert few[len(few) // 2] == 1
+    monkeypatch.setattr(ml, "ROWS_A_TASK", signal.count() / 4)
+    more = tasks("more-rows")
+    assert more[len(more) // 2] == 4
+
+
 def test_importances_sum_to_one_and_are_sorted(spark, signal):
     out = [r["importance"] for r in ml.feature_importances(ml.fit_trees(signal, SHORT, n_trees=3, depth=3), spark, SHORT).collect()]
     assert sum(out) == pytest.approx(1.0) and out == sorted(out, reverse=True)
