@@ -173,3 +173,19 @@ def test_catalog_layers(spark, tmp_path):
         assert store.put("MARTS", "t", spark.range(3)).count() == 3 == spark.table("risk_marts.t").count()
     finally:
         spark.sql("DROP DATABASE risk_marts CASCADE")
+
+
+def test_forms_of_numbers_pass_all_that_casts_take(spark):
+    marks = ["", " ", "\t", "\n", "\r\n", "\x00", "\x1f", "\x7f", "\u00a0", "\u2003", "-", "+", "--", "+-", "0x", "0x1p", ".", "e", "x"]
+    cores = ["", "0", "12", "007", "9223372036854775807", "9223372036854775808", "1.5", "5.", ".5", ".", "1e5", "1E-5", "1.e5", ".5e+3", "1e", "1e400", "5f", "5F",
+             "5d", "5.0D", "5L", "nan", "NaN", "NAN", "inf", "Inf", "Infinity", "infinity", "INFINITY", "infinit", "0x1p3", "0X1.8P-1", "0x1p3f", "0x", "1,000", "1_000",
+             "12 3", "1.2.3", "2024-01-02", "true", "currency 1", "north", "i", "\u0661\u0662", "\uff11", "\u0131nf", "\u0130nf", "null"]
+    texts = sorted({a + c + z for a in marks for c in cores for z in marks})
+    df = spark.createDataFrame([(t,) for t in texts], "v string").withColumns({
+        kind: F.col("v").try_cast(kind).cast("string") for kind in ("bigint", "double")})
+    for kind, form in (("bigint", rc.WHOLE_FORM), ("double", rc.NUMBER_FORM)):
+        guarded = rc.number_of(F.col("v"), form, kind).cast("string")
+        assert df.filter(~guarded.eqNullSafe(F.col(kind))).collect() == []
+        assert df.filter(F.col(kind).isNotNull()).count() > 20
+    refused = df.filter(F.col("double").isNull() & ~F.col("v").rlike(rc.NUMBER_FORM))
+    assert {"currency 1", "north", "2024-01-02", "1.2.3", "true"} <= {r["v"] for r in refused.collect()}
