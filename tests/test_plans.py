@@ -114,6 +114,13 @@ def test_checks_and_gates_build_only_the_tables_they_read(spark, monkeypatch):
     assert wrote == ["int_bureau_features", "reference-keys"]
 
 
+def test_reference_keys_are_the_staged_applicants_without_a_sort(spark):
+    b = Bound(spark, SF)
+    keys = st.applicant_keys(b.raw["application_train"])
+    assert sorted(keys.collect()) == sorted(b.staged["stg_application_train"].select("applicant_id").collect())
+    assert "Window" not in plan(keys) and "ext_source" not in plan(keys)
+
+
 def test_history_writes_no_fact_and_no_whole_roll_up(spark, monkeypatch):
     import __spark_entry__ as entry
     from riskmart.registry import bound

@@ -46,6 +46,17 @@ def test_relationships_count_rows_and_skip_nulls(spark):
     assert (r["failed"], r["total"], r["passed"]) == (2, 4, False)
 
 
+def test_row_rules_and_a_reference_share_one_scan_of_the_child(spark, tmp_path):
+    spark.createDataFrame([(1, 5), (9, -1), (9, None), (None, -2)], "k int, v int").write.parquet(str(tmp_path / "c"))
+    child, parent = spark.read.parquet(str(tmp_path / "c")), spark.createDataFrame([(1,), (2,), (2,)], "p int")
+    rules = [Rule("c", "k", "not_null"), Rule("c", "k", "relationships", params={"to": "parent", "field": "p"}), Rule("c", "v", "not_null"),
+             Rule("c", "v", "expression", params={"op": ">=", "value": 0})]
+    for df, want in ((child, {"k.not_null": (1, 4), "k.relationships": (2, 4), "v.not_null": (1, 4), "v.expression": (2, 4)}),
+                     (child.limit(0), dict.fromkeys(("k.not_null", "k.relationships", "v.not_null", "v.expression"), (0, 0)))):
+        assert {n: (r["failed"], r["total"]) for n, r in results(df, rules, {"parent": parent}).items()} == want
+    assert qu.check(child, rules, {"parent": parent})._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_all_row_rules_share_one_scan(spark, tmp_path):
     spark.range(10).selectExpr("id AS a", "id AS b").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
