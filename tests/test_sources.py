@@ -137,6 +137,31 @@ def test_delivered_files(spark, tmp_path):
         rc.read_delivered_csv(spark, str(tmp_path / "in.csv"), schemas.raw_schema("bureau_balance"))
 
 
+def test_delivered_file_is_parsed_again_only_for_rows_that_do_not_fit(spark, tmp_path, monkeypatch):
+    scans, real = {}, rc.full_refresh
+    monkeypatch.setattr(rc, "FILES", {"bureau_balance": "good.csv", "pos_cash_balance": "bad.csv"})
+    monkeypatch.setattr(rc, "raw_schema", lambda table: SCHEMA)
+
+    def refresh(df, path):
+        scans[path.split("/out/")[1]] = df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+        real(df, path)
+
+    monkeypatch.setattr(rc, "full_refresh", refresh)
+    names = [f.name for f in SCHEMA.fields]
+    fits = {"long": "1", "integer": "1", "double": "1.5"}
+    good = ",".join(fits.get(f.dataType.typeName(), "x") for f in SCHEMA.fields)
+    bad = ",".join("oops" for _ in names)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.csv").write_text("\n".join([",".join(names), good, good]) + "\n")
+    (tmp_path / "in" / "bad.csv").write_text("\n".join([",".join(names), good, bad, bad]) + "\n")
+    report = {r["table"]: (r["status"], r["rows"]) for r in rc.load_delivery(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    assert report == {"bureau_balance": ("ok", 2), "pos_cash_balance": ("ok", 1)}
+    assert scans == {"bureau_balance": 1, "quarantine/bureau_balance": 0, "pos_cash_balance": 1, "quarantine/pos_cash_balance": 1}
+    aside = {t: spark.read.parquet(str(tmp_path / "out" / "quarantine" / t)) for t in ("bureau_balance", "pos_cash_balance")}
+    assert {t: df.count() for t, df in aside.items()} == {"bureau_balance": 0, "pos_cash_balance": 2}
+    assert aside["bureau_balance"].schema == aside["pos_cash_balance"].schema and aside["pos_cash_balance"].columns[-1] == "reasons"
+
+
 def test_a_delivery_with_missing_files_stops_before_the_layers(spark, tmp_path):
     from riskmart.plans import run
 
