@@ -314,3 +314,16 @@ def test_logit_of_odd_tables(spark):
     assert flat.coefficients[0] == pytest.approx(0.0) and flat.converged
     apart = logit.fit_logit(spark.createDataFrame([(int(i > 5), 0.0, float(i)) for i in range(12)], schema), ["a", "b"])  # separable
     assert apart.converged and apart.coefficients[1] > 0
+
+
+def test_near_rows_are_cut_per_line_before_they_are_moved(spark):
+    rows = spark.range(40).select("id", F.array(F.col("id").cast("double"), (F.col("id") * 7 % 40).cast("double")).alias("x"))
+    near = ml.nearest_by_projection(rows, "id", 2, k=2, projections=3)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("collect_list(near"):]
+    assert below.count("slice(") == 3  # one for each line
+    points = {r["id"]: r["x"] for r in rows.collect()}
+    for r in near.collect():
+        found = [(n["d"], n["id"]) for n in r["near"]]
+        assert len(found) == 2 and found == sorted(found) and r["id"] not in [i for _, i in found]
+        assert all(d == sum((a - b) ** 2 for a, b in zip(points[i], points[r["id"]])) for d, i in found)
