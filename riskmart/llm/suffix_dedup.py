@@ -5,10 +5,10 @@ compared is decided by anchors: of the windows of ``MATCH`` bytes, each has as a
 ``ANCHOR``-byte pieces, so equal windows have equal anchors wherever they stand. A text falls into pieces,
 runs of windows with one anchor; pieces whose anchor no other piece has cannot repeat anything, and equal
 pieces are folded onto the first of them before anything is shuffled. The distinct pieces that share an
-anchor go to the task of that anchor as bytes, in document order, batch by batch: a batch gets a suffix
-array (its suffixes in the order of their first ``MATCH`` bytes), is scanned against the arrays of the levels
-before it, and becomes a level; levels of about equal size are merged, so there are never more than
-logarithmically many.
+anchor go to the task of that anchor as bytes, anchor by anchor, each in document order, batch by batch: a batch
+gets a suffix array (its suffixes in the order of their first ``MATCH`` bytes), is scanned against the arrays of
+the levels before it, and becomes a level; levels of about equal size are merged, so there are never more than
+logarithmically many. Levels end with their anchor, so a task's memory is that of one anchor and not of its rows.
 
 Anchors that much of the corpus has (a stock line in every context) would gather there. They are found on a
 sample and rank behind all others when anchors are chosen, so that a window around such a line is anchored
@@ -111,6 +111,7 @@ def pieces(data: np.ndarray, bounds: np.ndarray, hasher: hashing.RangeHash, comm
 def _folded(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
     """The first of equal pieces under their hash, the others as repeats under a place of their own."""
     k, s, ids, tks, q, loops = (np.concatenate(x) for x in zip(*parts))
+    parts.clear()
     order = np.argsort(s)
     twice = np.zeros(len(s), bool)
     same = s[order][1:] == s[order][:-1]
@@ -224,16 +225,20 @@ def suffix_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``id, tk, first, last``: byte ranges of the suffix prefixes that started earlier, rows in document order."""
+    """``id, tk, first, last``: byte ranges of the suffix prefixes that started earlier.
+
+    Rows come anchor by anchor, those of an anchor in document order. Equal strings have equal anchors, so the levels
+    hold the strings of one anchor, the one that the next batch may go on with, whatever else the task has.
+    """
     levels = SuffixLevels()
-    held: list[tuple[int, int, int, bytes]] = []
-    windows, before = 0, None
+    held: list[tuple[int, int, int, int, bytes]] = []
+    windows, before, anchor = 0, None, None
 
     def scan() -> pa.RecordBatch | None:
-        nonlocal held, windows
+        nonlocal levels, held, windows, anchor
         if not held:
             return None
-        keys, owner, place = suffix_keys([x[3] for x in held])
+        keys, owner, place = suffix_keys([x[4] for x in held])
         order = np.argsort(keys, kind="stable")
         ranked = keys[order]
         fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
@@ -241,9 +246,11 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         old = levels.holds(heads)
         repeat = np.zeros(len(keys), bool)
         repeat[order] = ~fresh | old[np.cumsum(fresh) - 1]
-        levels.add(heads[~old])
+        ks, ids, tks, ps = (np.array([x[i] for x in held]) for i in range(4))
+        if anchor != ks[-1]:
+            levels, anchor = SuffixLevels(), ks[-1]
+        levels.add(heads[~old & (ks[owner[order[fresh]]] == ks[-1])])
         at = np.flatnonzero(repeat)
-        ids, tks, ps = (np.array([x[i] for x in held]) for i in range(3))
         held, windows = [], 0
         if not len(at):
             return None
@@ -255,12 +262,12 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(ps[who] + place[end] + MATCH, pa.int64())], ["id", "tk", "first", "last"])
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("id", "tk", "p", "piece"))):
-            if row[:3] == before:  # a repeated row of the table
+        for row in zip(*(batch.column(c).to_pylist() for c in ("k", "id", "tk", "p", "piece"))):
+            if row[:4] == before:  # a repeated row of the table
                 continue
-            before = row[:3]
+            before = row[:4]
             held.append(row)
-            windows += len(row[3]) - MATCH + 1
+            windows += len(row[4]) - MATCH + 1
             if windows >= BATCH:
                 if (out := scan()) is not None:
                     yield out
@@ -279,7 +286,7 @@ def covered(docs: DataFrame) -> DataFrame:
     found = stage(judged.filter("whole or several").select("k", "id", "tk", "q", "whole"), "suffix-pieces")
     wanted = found.filter("not whole").groupBy("id", "tk").agg(F.collect_set(F.struct("k", "q")).alias("wanted"))
     apart = rows.join(wanted, ["id", "tk"]).mapInArrow(_cut, "k long, id long, tk long, p long, piece binary")
-    indexed = stage(apart.repartition("k").sortWithinPartitions("id", "tk", "p", "k").mapInArrow(
+    indexed = stage(apart.repartition("k").sortWithinPartitions("k", "id", "tk", "p").mapInArrow(
         _index, "id long, tk long, first long, last long"), "suffix-matches")
     place = F.shiftright("q", 8)
     whole = found.filter("whole").select("id", "tk", place.alias("first"),

@@ -172,6 +172,35 @@ def test_levels_merge_geometrically_and_find_all():
         assert all(a > 2 * b for a, b in zip(sizes, sizes[1:])) and sum(sizes) == len(seen)
 
 
+@pytest.mark.parametrize("batch", [1, 300, 1 << 16])
+def test_levels_hold_one_anchor(monkeypatch, batch):
+    """Pieces of 50 anchors of which one goes over many batches: what is found, and how much is kept for it."""
+    monkeypatch.setattr(suffix_dedup, "BATCH", batch)
+    rng, most, match = random.Random(4), [0], suffix_dedup.MATCH
+    rows, want, seen = [], set(), set()
+    for k in range(50):
+        stock = ["".join(rng.choice("ab") for _ in range(match + 20)) for _ in range(3)]
+        for i in range(40 if k == 20 else 4):
+            text = rng.choice(stock)[rng.randint(0, 10):] + "".join(rng.choice("cd") for _ in range(rng.randint(0, 15)))
+            rows.append((k, i, 0, 7, text.encode()))
+            for at in range(len(text) - match + 1):
+                window = (k, text[at:at + match])
+                want |= {(i + 1000 * k, 7 + at + j) for j in range(match)} if window in seen else set()
+                seen.add(window)
+    add = suffix_dedup.SuffixLevels.add
+
+    def counted(self, keys):
+        add(self, keys)
+        most[0] = max(most[0], sum(map(len, self.levels)))
+
+    monkeypatch.setattr(suffix_dedup.SuffixLevels, "add", counted)
+    table = pa.Table.from_pylist([{"k": k, "id": i + 1000 * k, "tk": tk, "p": p, "piece": piece} for k, i, tk, p, piece in rows])
+    got = {(i, j) for b in suffix_dedup._index(iter(table.to_batches(max_chunksize=37)))
+           for i, first, last in zip(*(b.column(c).to_pylist() for c in ("id", "first", "last"))) for j in range(first, last)}
+    assert got == want and len(want) > 1000
+    assert most[0] <= max(sum(k == a for k, _ in seen) for a in range(50))
+
+
 KINDS = {"no stop": lambda i: "", "one stop": lambda i: "." if i == 30 else "", "lines of three": lambda i: "\n" if i % 3 == 2 else "",
          "quoted": lambda i: ".”" if i % 10 == 9 else "", "sentences of 14": lambda i: "." if i % 14 == 13 else "", "commas": lambda i: "," if i % 6 == 5 else ""}
 
