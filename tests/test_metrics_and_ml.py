@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -229,6 +230,35 @@ def test_stacked_leaves_give_the_sum_over_single_leaves(monkeypatch, long_path):
     assert got == pytest.approx(want, abs=1e-12)
 
 
+def test_explanation_keeps_a_block_of_rows_at_a_time():
+    rng = np.random.default_rng(2)
+    leaves = []
+    for _ in range(256):
+        f = rng.choice(6, 4, replace=False)
+        lo, hi = np.sort(rng.integers(0, 9, (2, 4)) / 8, axis=0)
+        leaves.append((rng.normal(), f, lo, hi, rng.random(4) * 0.9 + 0.05))
+    x, stacked = rng.integers(0, 9, (40_000, 6)) / 8, ml.stack_leaves(leaves, 6)
+    tracemalloc.start()
+    got = ml.shapley_of_leaves(x, *stacked)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < 40e6  # of 10 million pairs of leaf and row
+    parts = [ml.shapley_of_leaves(x[i:i + 7_001], *stacked) for i in range(0, len(x), 7_001)]
+    assert np.concatenate(parts) == pytest.approx(got, abs=1e-12)
+
+
+def test_scored_rows_are_prepared_once(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    real, calls = ml.fit_trees, []
+    monkeypatch.setattr(ml, "fit_trees", lambda train, **options: real(train, n_trees=2, depth=2))
+    impute = ml.impute_medians
+    monkeypatch.setattr(ml, "impute_medians", lambda df: calls.append(df) or impute(df))
+    monkeypatch.setattr("riskmart.registry.queries_reports._models", {})
+    assert entry.queries()["tree_scores_with_factors"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(calls) == 1
+
+
 def test_folds_fitted_at_once_equal_folds_fitted_in_turn(spark, signal):
     runs = [ml.cross_validate(signal, lambda t: ml.fit_logistic(t, SHORT), folds=4, at_once=n) for n in (1, 4)]
     assert runs[0] == runs[1] and len(runs[0].folds) == 4
