@@ -6,6 +6,7 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskmart.operators import metrics as mt
@@ -336,6 +337,15 @@ def test_reweighted_least_squares_equals_the_library_fit(spark, signal):
     assert scored.agg(F.max(F.abs(F.col("score") - F.col("other")))).first()[0] < 1e-6
 
 
+def test_a_logistic_model_scores_after_an_observation(spark, signal):
+    seen = Observation("seen")
+    signal.observe(seen, F.count(F.lit(1)).alias("n")).count()
+    assert seen.get["n"] > 0
+    model = ml.fit_logistic(signal, SHORT, max_iter=20)
+    assert 0 < ml.with_probability(model, signal, ["label"]).agg(F.avg("score")).first()[0] < 1
+    assert len(ml.logistic_contributions(model, SHORT)) == len(SHORT)
+
+
 def test_logit_of_odd_tables(spark):
     schema = "label int, a double, b double"
     empty = logit.fit_logit(spark.createDataFrame([], schema), ["a", "b"])
